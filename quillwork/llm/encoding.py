@@ -86,7 +86,7 @@ def stretches(text: str) -> Iterator[tuple[int, int, str, str]]:
         for name in MULTI_BYTE:
             raw = b"".join(c.encode(name, "ignore") if c != "�" else b"\xff" for c in m.group())
             got = raw.decode("utf-8", "replace")
-            good = got.replace("�", "")
+            good = "".join(c for c in got if c > "\x7f" and c != "�")
             if good and len(good) >= 0.5 * got.count("�") and not WIDE_RUN.search(good):
                 yield m.start(), m.end(), name, got
 
