@@ -8,25 +8,28 @@ tokens of a text, and its prefix is the first of them; two texts of similarity s
 probability s. The filters of ROWS orders are intersected in one key, and BANDS such intersections are united, so a
 pair is a candidate if it shares all prefixes of any of them. Tokens that more than COMMON of the texts hold rank
 behind the others: they are left out of the orders while a text has enough rarer tokens. Then every candidate is
-verified exactly. Texts with equal bags are merged first, so copies are one text during the search.
+verified exactly. Before that a parity sketch of 64 bits prunes without loss: two bags differ in at least as many
+tokens as their sketches differ in bits. Texts with equal bags are merged first, so copies are one text in the search.
 
 The chance to miss a pair is (1 - r^ROWS)^BANDS for a share r of common rare tokens; see README for measured recall.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillwork.plans.lineage import cut
 from quillwork.sources.tables import table
 
 THRESHOLD, LEAST_WORDS = 0.8, 30
-ROWS, BANDS = 4, 40
+ROWS, BANDS = 4, 24
 COMMON = 0.08
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -83,103 +86,128 @@ def near_texts(spark: SparkSession, data_dir: str) -> DataFrame:
     return examples.unionByName(chats).where("text is not null")
 
 
-def _bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts of enough words as token lists, with a key that equal bags share."""
-    import xxhash
-
-    cache: dict[str, int] = {}
-    for b in batches:
-        tokens, lengths = bag_tokens(b["text"].tolist(), cache)
-        parts = np.split(tokens.view(np.int64), np.cumsum(lengths)[:-1]) if len(lengths) else []
-        keep = np.flatnonzero(lengths >= LEAST_WORDS)
-        if len(keep):
-            own = [np.sort(parts[i]) for i in keep]
-            yield pd.DataFrame({"record_table": b["record_table"].to_numpy()[keep], "record_id": b["record_id"].to_numpy()[keep], "bag": [xxhash.xxh3_128_hexdigest(x.tobytes()) for x in own], "tokens": own})
-
-
-def common_tokens(bags: DataFrame, total: int) -> set[int]:
+def common_tokens(texts: DataFrame) -> np.ndarray:
     """Tokens of more than COMMON of the texts. There are at most (mean words of a text) / COMMON of them, however many texts."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        cache: dict[str, int] = {}
+        held, n, texts_ = np.empty(0, np.int64), np.empty(0, np.int64), 0
         for b in batches:
-            if len(b):
-                t = np.concatenate(b["tokens"].to_numpy())
-                held, at = np.unique(np.concatenate([held, t]), return_inverse=True)
-                n = np.bincount(at, weights=np.concatenate([n, np.ones(len(t), np.int64)])).astype(np.int64)
-                if len(held) > 2_000_000:
-                    yield pd.DataFrame({"t": held, "n": n})
-                    held, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        if len(held):
-            yield pd.DataFrame({"t": held, "n": n})
-
-    counts = bags.select("tokens").mapInPandas(count, "t long, n long").groupBy("t").agg(F.sum("n").alias("n"))
-    return {r.t for r in counts.where(F.col("n") > COMMON * total).select("t").toLocalIterator()}
+            tokens, lengths = bag_tokens(b["text"].tolist(), cache)
+            tokens = tokens[np.repeat(lengths >= LEAST_WORDS, lengths)].view(np.int64)
+            texts_ += int((lengths >= LEAST_WORDS).sum())
+            t, m = np.unique(tokens, return_counts=True)
+            held, at = np.unique(np.concatenate([held, t]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([n, m]), minlength=len(held)).astype(np.int64)
+            if len(held) > 2_000_000:
+                yield pd.DataFrame({"t": held, "n": n, "texts": False})
+                held, n = np.empty(0, np.int64), np.empty(0, np.int64)
+        yield pd.DataFrame({"t": np.append(held, 0), "n": np.append(n, texts_), "texts": np.append(np.zeros(len(held), bool), True)})
+
+    counts = texts.select("text").mapInPandas(count, "t long, n long, texts boolean").groupBy("texts", "t").agg(F.sum("n").alias("n"))
+    total = F.broadcast(counts.where("texts").select(F.col("n").alias("total")))  # one row
+    frequent = counts.where("not texts").join(total, F.col("n") > COMMON * F.col("total")).select("t")
+    return np.array(sorted(r.t for r in frequent.toLocalIterator()), np.int64)
+
+
+def prefix_keys(tokens: np.ndarray, lengths: np.ndarray, way: int) -> np.ndarray:
+    """(texts, BANDS) keys: for every band the intersected one-token prefixes of its orders. Every length is positive."""
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    keys = np.empty((len(lengths), BANDS), np.uint64)
+    seed = mixed(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(BANDS, ROWS, 2)
+    with np.errstate(over="ignore"):
+        for band in range(BANDS):
+            key = np.full(len(lengths), band + 1000 * way, np.uint64)
+            for a, b in seed[band]:
+                first = np.minimum.reduceat((tokens ^ a) * (b | np.uint64(1)), starts)
+                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + first)
+            keys[:, band] = key
+    return keys.view(np.int64)
 
 
-def order_seeds() -> np.ndarray:
-    return mixed(np.arange(1, ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+MEMBER = "record_table string, record_id long, bag string, size int, sketch long, keys array<long>"
 
 
-def prefix_keys(tokens: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """The keys of one text: for every band the intersected prefixes of its orders.
+def members_of(texts: DataFrame, common: np.ndarray | None) -> DataFrame:
+    """record_table, record_id, bag (a key that equal bags share), size, sketch and prefix keys of each text of enough words;
+    without common tokens only the first three.
 
     A text that has few rare tokens ranks all its tokens, one that has many ranks the rare ones, one between does
-    both; the two ways have different keys, and the ranges overlap by more than two texts of the threshold can differ.
+    both; the two ways have different keys, and their ranges overlap by more than two texts of the threshold differ.
     """
-    rare = tokens[~np.isin(tokens, common, assume_unique=True)]
-    share = len(rare) / max(1, len(tokens))
-    out = []
-    for way, ranked in ((1, rare if share >= 0.2 else None), (2, tokens if share < 0.45 else None)):
-        if ranked is None:
-            continue
-        ranks = mixed(ranked.astype(np.uint64)[None, :] ^ order_seeds()[:, None])
-        first = ranks.min(axis=1).reshape(BANDS, ROWS)
-        key = np.arange(BANDS, dtype=np.uint64) + np.uint64(way * 1000)
-        with np.errstate(over="ignore"):
-            for j in range(ROWS):
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + first[:, j])
-        out.append(key)
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
-
 
-def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): members record_table, record_id, bag; pairs record_table, bag_a, bag_b of similarity THRESHOLD or more between different bags."""
-    members = cut(texts.mapInPandas(_bags, "record_table string, record_id long, bag string, tokens array<long>"))
-    bags = cut(members.groupBy("record_table", "bag").agg(F.first("tokens").alias("tokens")).withColumn("bag_id", F.xxhash64("record_table", "bag")))
-    total = bags.count()
-    common = np.array(sorted(common_tokens(bags, total)), np.int64)
+    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import xxhash
 
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict[str, int] = {}
         for b in batches:
-            ids, keys, sizes = [], [], []
-            for t, i, own in zip(b["record_table"], b["bag_id"], b["tokens"]):
-                k = prefix_keys(np.asarray(own), common) ^ np.int64(0 if t == "chat_records" else 0x5BD1E995)
-                keys.append(k)
-                ids.append(np.full(len(k), i))
-                sizes.append(np.full(len(k), len(own), np.int32))
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "bag_id": np.concatenate(ids), "size": np.concatenate(sizes)})
-
-    keys = bags.select("record_table", "bag_id", "tokens").mapInPandas(keyed, "key long, bag_id long, size int")
-    # keys that one text alone has are dropped before the join; the sizes of two partners differ by the threshold at most
-    left = keys.select("key", F.col("bag_id").alias("a"), F.col("size").alias("size_a"))
-    right = keys.select("key", F.col("bag_id").alias("b"), F.col("size").alias("size_b"))
-    candidates = (
-        left.join(right, "key").where((F.col("a") < F.col("b")) & (F.least("size_a", "size_b") >= THRESHOLD * F.greatest("size_a", "size_b"))).select("a", "b").distinct()
-    )
-    own = bags.select("bag_id", "record_table", "bag", "tokens")
-    one = own.select(F.col("bag_id").alias("a"), "record_table", F.col("bag").alias("bag_a"), F.col("tokens").alias("tokens_a"))
-    two = own.select(F.col("bag_id").alias("b"), F.col("bag").alias("bag_b"), F.col("tokens").alias("tokens_b"))
-    shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
-    pairs = (
-        candidates.join(one, "a")
-        .join(two, "b")
-        .withColumn("shared", shared)
-        .where(F.col("shared") >= THRESHOLD * (F.size("tokens_a") + F.size("tokens_b") - F.col("shared")))
-        .select("record_table", "bag_a", "bag_b")
-    )
-    return members.select("record_table", "record_id", "bag"), pairs
+            tokens, lengths = bag_tokens(b["text"].tolist(), cache)
+            keep = lengths >= LEAST_WORDS
+            if not keep.any():
+                continue
+            tokens, own = tokens[np.repeat(keep, lengths)], lengths[keep]
+            owner = np.repeat(np.arange(len(own)), own)
+            order = np.lexsort((tokens, owner))
+            tokens = tokens[order]
+            ends = np.cumsum(own)
+            starts = ends - own
+            bags = [xxhash.xxh3_128_hexdigest(tokens[i:j].tobytes()) for i, j in zip(starts, ends)]
+            head = {"record_table": b["record_table"].to_numpy()[keep], "record_id": b["record_id"].to_numpy()[keep], "bag": bags}
+            if common is None:
+                yield pd.DataFrame(head)
+                continue
+            bits = np.uint64(1) << (tokens >> np.uint64(58))
+            sketch = np.bitwise_xor.reduceat(bits, starts).view(np.int64)
+            rare = ~np.isin(tokens.view(np.int64), common)
+            n_rare = np.add.reduceat(rare.astype(np.int64), starts)
+            share = n_rare / own
+            keys: list[list[np.ndarray]] = [[] for _ in own]
+            table_salt = np.where(b["record_table"].to_numpy()[keep] == "chat_records", 7, 0).astype(np.int64)
+            for way, chosen, mask, n in ((1, (share >= 0.2) & (n_rare > 0), rare, n_rare), (2, share < 0.45, np.ones(len(tokens), bool), own)):
+                at = np.flatnonzero(chosen)
+                if len(at):
+                    some = prefix_keys(tokens[mask & chosen[owner]], n[at], way) + table_salt[at][:, None]
+                    for i, row in zip(at, some):
+                        keys[i].append(row)
+            yield pd.DataFrame({**head, "size": own.astype(np.int32), "sketch": sketch, "keys": [np.concatenate(k) for k in keys]})
+
+    return texts.mapInPandas(prepare, MEMBER if common is not None else MEMBER.partition(", size")[0])
+
+
+def similarity(a: str, b: str) -> float:
+    """Shared words over all words of two texts, repeats counted."""
+    import regex
+
+    x, y = (Counter(regex.findall(r"[\p{L}\p{N}]+", t.lower())) for t in (a, b))
+    shared = sum((x & y).values())
+    return shared / max(1, sum(x.values()) + sum(y.values()) - shared)
+
+
+@F.pandas_udf(T.BooleanType())
+def verified(a: pd.Series, b: pd.Series) -> pd.Series:
+    # a hair below the threshold, as 0.8 is no binary fraction
+    return pd.Series([similarity(x, y) >= THRESHOLD - 1e-12 for x, y in zip(a, b)], dtype=bool)
+
+
+def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): members record_table, record_id, bag, n (texts of the bag); pairs record_table, bag_a, bag_b of similarity THRESHOLD or more between different bags."""
+    prepared = members_of(texts, common_tokens(texts))
+    bags = cut(prepared.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")))
+    keyed = bags.select("record_table", "rep", "size", "sketch", F.explode("keys").alias("key"))
+    left = keyed.select("key", "record_table", F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("sketch_a"))
+    right = keyed.select("key", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("sketch_b"))
+    total = F.col("size_a") + F.col("size_b")
+    differ = total * ((1 - THRESHOLD) / (1 + THRESHOLD))  # tokens in which two bags of the threshold can differ
+    near = (F.col("a") < F.col("b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= differ + 1e-9) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= differ + 1e-9)
+    # the planner does not see that explode multiplies the rows, so it is told to sort and merge
+    candidates = left.hint("merge").join(right, "key").where(near).select("record_table", "a", "b").distinct()
+    own = texts.select("record_table", "record_id", "text")
+    one, two = (own.select("record_table", F.col("record_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+    pairs = candidates.join(one, ["record_table", "a"]).join(two, ["record_table", "b"]).where(verified("text_a", "text_b")).select("record_table", "a", "b")
+    reps = bags.select("record_table", "rep", "bag")
+    pairs = pairs.join(reps.select("record_table", F.col("rep").alias("a"), F.col("bag").alias("bag_a")), ["record_table", "a"])
+    pairs = pairs.join(reps.select("record_table", F.col("rep").alias("b"), F.col("bag").alias("bag_b")), ["record_table", "b"]).select("record_table", "bag_a", "bag_b")
+    return members_of(texts, None), pairs
 
 
 def p4_found(spark: SparkSession, data_dir: str) -> DataFrame:
