@@ -31,6 +31,8 @@ from quillwork.sources.tables import table
 THRESHOLD, LEAST_WORDS = 0.8, 30
 ROWS, BANDS = 4, 24
 COMMON = 0.08
+#: Ids of candidates are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
+BROADCAST_IDS = 1_000_000
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -43,7 +45,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def bag_tokens(texts: list[str], cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(tokens, lengths): for each text its sorted token hashes, concatenated. Words are runs of letters or digits in lower case."""
+    """(tokens, lengths): for each text its token hashes in an order that equal bags share, concatenated. Words are runs of letters or digits in lower case."""
     import re
 
     import regex
@@ -63,18 +65,26 @@ def bag_tokens(texts: list[str], cache: dict[str, int]) -> tuple[np.ndarray, np.
                 h = cache[w] = xxhash.xxh64_intdigest(w)
             flat.append(h)
         lengths[i] = len(words)
-    words_ = np.array(flat, np.uint64)
-    owner = np.repeat(np.arange(len(texts)), lengths)
-    order = np.lexsort((words_, owner))
-    words_, owner = words_[order], owner[order]
-    n = len(words_)
+    n = len(flat)
     if n == 0:
-        return words_, lengths
-    new = np.ones(n, bool)
-    new[1:] = (words_[1:] != words_[:-1]) | (owner[1:] != owner[:-1])
-    start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    nth = (np.arange(n) - start).astype(np.uint64)  # the occurrence makes repeats tokens of their own
-    return mixed(words_ + nth * np.uint64(0x9E3779B97F4A7C15)), lengths
+        return np.empty(0, np.uint64), lengths
+    # the text's number above 44 bits of the word's hash: one plain sort orders the words within each text
+    owner = np.repeat(np.arange(len(texts), dtype=np.uint64), lengths)
+    both = np.sort((owner << np.uint64(44)) | (np.array(flat, np.uint64) >> np.uint64(20)))
+    start = np.zeros(n, np.int64)
+    new = np.flatnonzero(both[1:] != both[:-1]) + 1
+    start[new] = new
+    nth = (np.arange(n) - np.maximum.accumulate(start)).astype(np.uint64)  # the occurrence makes repeats tokens of their own
+    with np.errstate(over="ignore"):
+        return mixed((both & np.uint64((1 << 44) - 1)) + nth * np.uint64(0x9E3779B97F4A7C15)), lengths
+
+
+def among(tokens: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
+    """Whether each token is in a short sorted list."""
+    if not len(sorted_):
+        return np.zeros(len(tokens), bool)
+    at = np.minimum(np.searchsorted(sorted_, tokens), len(sorted_) - 1)
+    return sorted_[at] == tokens
 
 
 def near_texts(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -122,15 +132,14 @@ def prefix_keys(tokens: np.ndarray, lengths: np.ndarray, way: int) -> np.ndarray
                 first = np.minimum.reduceat((tokens ^ a) * (b | np.uint64(1)), starts)
                 key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + first)
             keys[:, band] = key
-    return keys.view(np.int64)
+    return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)  # a chance match of 32 bits costs one verification
 
 
-MEMBER = "record_table string, record_id long, bag string, size int, sketch long, keys array<long>"
+MEMBER = "record_table string, record_id long, bag string, size int, sketch long, keys array<int>"
 
 
-def members_of(texts: DataFrame, common: np.ndarray | None) -> DataFrame:
-    """record_table, record_id, bag (a key that equal bags share), size, sketch and prefix keys of each text of enough words;
-    without common tokens only the first three.
+def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
+    """record_table, record_id, bag (a key that equal bags share), size, sketch and prefix keys of each text of enough words.
 
     A text that has few rare tokens ranks all its tokens, one that has many ranks the rare ones, one between does
     both; the two ways have different keys, and their ranges overlap by more than two texts of the threshold differ.
@@ -147,22 +156,17 @@ def members_of(texts: DataFrame, common: np.ndarray | None) -> DataFrame:
                 continue
             tokens, own = tokens[np.repeat(keep, lengths)], lengths[keep]
             owner = np.repeat(np.arange(len(own)), own)
-            order = np.lexsort((tokens, owner))
-            tokens = tokens[order]
             ends = np.cumsum(own)
             starts = ends - own
             bags = [xxhash.xxh3_128_hexdigest(tokens[i:j].tobytes()) for i, j in zip(starts, ends)]
             head = {"record_table": b["record_table"].to_numpy()[keep], "record_id": b["record_id"].to_numpy()[keep], "bag": bags}
-            if common is None:
-                yield pd.DataFrame(head)
-                continue
             bits = np.uint64(1) << (tokens >> np.uint64(58))
             sketch = np.bitwise_xor.reduceat(bits, starts).view(np.int64)
-            rare = ~np.isin(tokens.view(np.int64), common)
+            rare = ~among(tokens.view(np.int64), common)
             n_rare = np.add.reduceat(rare.astype(np.int64), starts)
             share = n_rare / own
             keys: list[list[np.ndarray]] = [[] for _ in own]
-            table_salt = np.where(b["record_table"].to_numpy()[keep] == "chat_records", 7, 0).astype(np.int64)
+            table_salt = np.where(b["record_table"].to_numpy()[keep] == "chat_records", 7, 0).astype(np.int32)
             for way, chosen, mask, n in ((1, (share >= 0.2) & (n_rare > 0), rare, n_rare), (2, share < 0.45, np.ones(len(tokens), bool), own)):
                 at = np.flatnonzero(chosen)
                 if len(at):
@@ -171,7 +175,7 @@ def members_of(texts: DataFrame, common: np.ndarray | None) -> DataFrame:
                         keys[i].append(row)
             yield pd.DataFrame({**head, "size": own.astype(np.int32), "sketch": sketch, "keys": [np.concatenate(k) for k in keys]})
 
-    return texts.mapInPandas(prepare, MEMBER if common is not None else MEMBER.partition(", size")[0])
+    return texts.mapInPandas(prepare, MEMBER)
 
 
 def similarity(a: str, b: str) -> float:
@@ -191,23 +195,25 @@ def verified(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members record_table, record_id, bag, n (texts of the bag); pairs record_table, bag_a, bag_b of similarity THRESHOLD or more between different bags."""
-    prepared = members_of(texts, common_tokens(texts))
-    bags = cut(prepared.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys")))
-    keyed = bags.select("record_table", "rep", "size", "sketch", F.explode("keys").alias("key"))
-    left = keyed.select("key", "record_table", F.col("rep").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("sketch_a"))
-    right = keyed.select("key", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("sketch_b"))
-    total = F.col("size_a") + F.col("size_b")
-    differ = total * ((1 - THRESHOLD) / (1 + THRESHOLD))  # tokens in which two bags of the threshold can differ
-    near = (F.col("a") < F.col("b")) & (F.abs(F.col("size_a") - F.col("size_b")) <= differ + 1e-9) & (F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))) <= differ + 1e-9)
+    members = cut(members_of(texts, common_tokens(texts)))
+    # a text is one number: its record id, and the table in the last bit
+    bags = members.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+    rep = F.col("rep") * 2 + F.when(F.col("record_table") == "chat_records", 1).otherwise(0)
+    keyed = bags.select(rep.alias("rep"), "size", "sketch", F.explode("keys").alias("key"))
+    one, two = keyed.alias("x"), keyed.alias("y")  # alike, so that one exchange serves both sides
+    differ = (F.col("x.size") + F.col("y.size")) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-9  # tokens in which two bags of the threshold can differ
+    near = (F.col("x.rep") < F.col("y.rep")) & (F.abs(F.col("x.size") - F.col("y.size")) <= differ) & (F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) <= differ)
     # the planner does not see that explode multiplies the rows, so it is told to sort and merge
-    candidates = left.hint("merge").join(right, "key").where(near).select("record_table", "a", "b").distinct()
-    own = texts.select("record_table", "record_id", "text")
-    one, two = (own.select("record_table", F.col("record_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    pairs = candidates.join(one, ["record_table", "a"]).join(two, ["record_table", "b"]).where(verified("text_a", "text_b")).select("record_table", "a", "b")
-    reps = bags.select("record_table", "rep", "bag")
-    pairs = pairs.join(reps.select("record_table", F.col("rep").alias("a"), F.col("bag").alias("bag_a")), ["record_table", "a"])
-    pairs = pairs.join(reps.select("record_table", F.col("rep").alias("b"), F.col("bag").alias("bag_b")), ["record_table", "b"]).select("record_table", "bag_a", "bag_b")
-    return members_of(texts, None), pairs
+    candidates = cut(one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+    ids = candidates.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
+    own = texts.select((F.col("record_id") * 2 + F.when(F.col("record_table") == "chat_records", 1).otherwise(0)).alias("text_id"), "text")
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # then only the texts of candidates are shuffled
+        own = own.join(F.broadcast(ids), "text_id", "left_semi")
+    left, right = (own.select(F.col("text_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+    pairs = candidates.join(left, "a").join(right, "b").where(verified("text_a", "text_b")).select("a", "b")
+    reps = members.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep")).select(rep.alias("text_id"), "record_table", "bag")
+    pairs = pairs.join(reps.select(F.col("text_id").alias("a"), "record_table", F.col("bag").alias("bag_a")), "a").join(reps.select(F.col("text_id").alias("b"), F.col("bag").alias("bag_b")), "b")
+    return members.select("record_table", "record_id", "bag"), pairs.select("record_table", "bag_a", "bag_b")
 
 
 def p4_found(spark: SparkSession, data_dir: str) -> DataFrame:
