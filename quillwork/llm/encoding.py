@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillwork.plans.lineage import cut
 from quillwork.sources.tables import first_arrival, table
 
 SINGLE_BYTE = ("cp1252", "iso8859_15", "cp1250", "cp1251", "cp1253", "cp1254", "koi8_r", "cp437", "cp850", "cp866", "mac_roman")
@@ -55,6 +55,17 @@ def _chains() -> dict[str, tuple[re.Pattern, dict[str, int]]]:
 WIDE_RUN = re.compile("[⺀-鿿가-힣豈-﫿︰-﹏＀-￯぀-ヿ㄀-ㄯ㈀-㏿�]+")
 
 
+@lru_cache(maxsize=1)
+def _suspect() -> re.Pattern:
+    """Two neighbours that could be the first bytes of a sequence in any chain, or a wide or lost character."""
+    leads, rest = set(), set()
+    for _, of in _chains().values():
+        leads |= {c for c, b in of.items() if 0xC2 <= b <= 0xF4}
+        rest |= {c for c, b in of.items() if 0x80 <= b <= 0xBF}
+    either = lambda x: "[" + re.escape("".join(sorted(x))) + "]"
+    return re.compile(f"{either(leads)}{either(rest)}|{WIDE_RUN.pattern[:-1]}")
+
+
 def _again(text: str, depth: int = 2) -> str:
     """Undo a second pass through the same kind of chain."""
     rx, of = _chains()["cp1252"]
@@ -75,7 +86,7 @@ def _bytes(s: str, of: dict[str, int]) -> str | None:
 
 def stretches(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, chain, restored text) of every place that reads as UTF-8 in a chain."""
-    if text.isascii():
+    if text.isascii() or not _suspect().search(text):
         return
     for name, (rx, of) in _chains().items():
         for m in rx.finditer(text):
@@ -95,20 +106,27 @@ def character_counts(values: DataFrame) -> dict[str, int]:
     """Counts of the characters of all text outside candidate places. The result is bounded by the number of code points."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()
+        total = np.zeros(0x110000, np.int64)
+        suspect = _suspect()
         for b in batches:
+            clean: list[str] = []
             for t in b["text"]:
-                if t.isascii():
-                    total.update(t)
+                if t.isascii() or not suspect.search(t):
+                    clean.append(t)
                     continue
                 at = 0
                 for lo, hi in sorted({(lo, hi) for lo, hi, _, _ in stretches(t)}):
                     if lo > at:
-                        total.update(t[at:lo])
+                        clean.append(t[at:lo])
                     at = max(at, hi)
-                total.update(t[at:])
-        if total:
-            yield pd.DataFrame({"c": list(total), "n": list(total.values())})
+                clean.append(t[at:])
+            codes = np.frombuffer("".join(clean).encode("utf-32-le", "surrogatepass"), np.uint32)
+            counts = np.bincount(codes)
+            total[: len(counts)] += counts
+        held = np.flatnonzero(total)
+        held = held[(held < 0xD800) | (held > 0xDFFF)]
+        if len(held):
+            yield pd.DataFrame({"c": [chr(i) for i in held], "n": total[held]})
 
     rows = values.select("text").mapInPandas(count, "c string, n long").groupBy("c").agg(F.sum("n").alias("n"))
     return {r.c: r.n for r in rows.toLocalIterator()}
@@ -121,10 +139,11 @@ def evidence(values: DataFrame, counts: dict[str, int]) -> DataFrame:
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         all_ = math.log(sum(counts.values()) + 1.0)
+        suspect = _suspect()
         for b in batches:
             out = []
             for row in b.itertuples(index=False):
-                if row.text.isascii():
+                if row.text.isascii() or not suspect.search(row.text):
                     continue
                 by: dict[str, float] = {}
                 for lo, hi, chain, got in stretches(row.text):
@@ -173,7 +192,7 @@ def judged(spark: SparkSession, data_dir: str, counts: dict[str, int] | None = N
     values = encoded_values(spark, data_dir)
     counts = character_counts(values) if counts is None else counts
     sources = table(spark, data_dir, "source_documents").select(F.col("id").alias("source_document_id"), F.coalesce("source_name", F.lit("")).alias("source")).dropDuplicates(["source_document_id"])
-    found = evidence(values, counts).join(sources, "source_document_id", "left").fillna("", ["source"])
+    found = cut(evidence(values, counts)).join(sources, "source_document_id", "left").fillna("", ["source"])
     records = (
         values.select("field_name", "source_document_id").join(sources, "source_document_id", "left").fillna("", ["source"]).groupBy("source", "field_name").agg(F.count("*").alias("records"))
     )
