@@ -1 +1 @@
-"""streaming of the engine."""
+"""Incremental jobs on Structured Streaming."""
