@@ -4,8 +4,8 @@ Winnowing: of the hashes of all k-grams of words the smallest in every window of
 texts that share w + k - 1 words in a row share a kept hash. The fingerprints of documents and items are joined,
 each hit gives a diagonal (document word minus item word), and the diagonal is extended word by word.
 
-A stretch of 24 words with at most one in twelve exchanged has at least eight equal words in a row, and an item
-of 12 to 23 words at least six; k = 4 and w = 3 guarantee six.
+A stretch of 24 words with at most one in twelve exchanged has at least eight equal words in a row: k = 6 and w = 3
+guarantee eight. A whole item of 12 to 23 words has at least six: such short items are looked for with k = 4.
 """
 
 from __future__ import annotations
@@ -20,57 +20,81 @@ from pyspark.sql import types as T
 
 from quillwork.sources.tables import table
 
-K, WINDOW = 4, 3
+K_LONG, K_SHORT, WINDOW = 6, 4, 3
 STRETCH, PER_EXCHANGED = 24, 12
 #: Item fingerprints are broadcast up to this many (16 bytes each); beyond it both sides are shuffled.
 BROADCAST_FINGERPRINTS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
-FINGERPRINTS = T.ArrayType(T.StructType([T.StructField("h", T.LongType()), T.StructField("at", T.IntegerType())]))
 
 
-def word_hashes(text: str, words=None, cache: dict | None = None) -> np.ndarray:
-    """64-bit hashes of the words (runs of letters, digits and marks) in lower case."""
+def word_hashes(texts: list[str | None], cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, lengths): 64-bit hashes of the words (runs of letters, digits and marks) in lower case, concatenated."""
+    import re
+
     import regex
     import xxhash
 
-    found = regex.findall(r"[\p{L}\p{N}\p{M}]+", text.lower())
-    cache = {} if cache is None else cache
-    if len(cache) > 500_000:
-        cache.clear()
-    out = np.empty(len(found), np.uint64)
-    for i, w in enumerate(found):
-        h = cache.get(w)
-        if h is None:
-            h = cache[w] = xxhash.xxh64_intdigest(w)
-        out[i] = h
-    return out
-
-
-def winnow(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, positions) kept: the rightmost smallest k-gram of each window; all-in-one window for short texts."""
-    n = len(words) - K + 1
+    ascii_word, any_word = re.compile("[a-z0-9]+"), regex.compile(r"[\p{L}\p{M}\p{N}]+")
+    flat: list[int] = []
+    lengths = np.zeros(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        if not t:
+            continue
+        low = t.lower()
+        words = (ascii_word if low.isascii() else any_word).findall(low)
+        if len(cache) > 1_000_000:
+            cache.clear()
+        for w in words:
+            h = cache.get(w)
+            if h is None:
+                h = cache[w] = xxhash.xxh64_intdigest(w)
+            flat.append(h)
+        lengths[i] = len(words)
+    return np.array(flat, np.uint64), lengths
+
+
+def winnow(words: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, text numbers, positions) kept: the smallest k-gram of every window of WINDOW neighbours.
+
+    Windows run over all texts at once; a window over the border of two texts keeps one more k-gram, which does no
+    harm. A text shorter than a window keeps its smallest.
+    """
+    n = len(words) - k + 1
     if n < 1:
-        return np.empty(0, np.int64), np.empty(0, np.int32)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    owner = np.repeat(np.arange(len(lengths)), lengths)
     grams = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        for j in range(K):
+        for j in range(k):
             grams = (grams ^ words[j : j + n]) * MIX
             grams ^= grams >> np.uint64(29)
-    w = min(WINDOW, n)
-    windows = np.lib.stride_tricks.sliding_window_view(grams, w)
-    at = np.unique(np.arange(len(windows)) + (w - 1) - np.argmin(windows[:, ::-1], axis=1))
-    return grams[at].astype(np.int64), at.astype(np.int32)
-
-
-@F.pandas_udf(FINGERPRINTS)
-def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    cache: dict[str, int] = {}
-    for s in texts:
-        out = []
-        for t in s:
-            h, at = winnow(word_hashes(t, cache=cache)) if t else ((), ())
-            out.append([{"h": int(a), "at": int(b)} for a, b in zip(h, at)])
-        yield pd.Series(out)
+    inside = owner[:n] == owner[k - 1 :]
+    grams[~inside] = np.uint64(2**64 - 1)
+    padded = np.concatenate([np.full(WINDOW - 1, 2**64 - 1, np.uint64), grams, np.full(WINDOW - 1, 2**64 - 1, np.uint64)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)
+    at = np.unique(np.arange(len(windows)) - np.argmin(windows[:, ::-1], axis=1))
+    at = at[(at >= 0) & (at < n)]
+    at = at[inside[at]]
+    starts = np.cumsum(lengths) - lengths
+    return grams[at].view(np.int64), owner[at], (at - starts[owner[at]]).astype(np.int32)
+
+
+def fingerprints(texts: DataFrame, key: str, k: int, wanted: np.ndarray | None = None) -> DataFrame:
+    """key, h, at of every kept k-gram; only those among the sorted wanted hashes if given."""
+
+    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cache: dict[str, int] = {}
+        for b in batches:
+            h, owner, at = winnow(*word_hashes(b["text"].tolist(), cache), k)
+            if wanted is not None:
+                if not len(wanted):
+                    continue
+                same = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
+                h, owner, at = h[same], owner[same], at[same]
+            if len(h):
+                yield pd.DataFrame({key: b[key].to_numpy()[owner], "h": h, "at": at})
+
+    return texts.select(key, "text").where(F.col(key).isNotNull()).mapInPandas(kept, f"{key} long, h long, at int")
 
 
 def holds(doc: np.ndarray, item: np.ndarray, offsets: set[int]) -> bool:
@@ -97,32 +121,29 @@ def holds(doc: np.ndarray, item: np.ndarray, offsets: set[int]) -> bool:
 def verified(docs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     cache: dict[str, int] = {}
     items: dict[str, np.ndarray] = {}
+    last, words = None, np.empty(0, np.uint64)
     for d, e, o in docs:
-        out, last, words = [], None, None
+        out = []
         for doc, item, offsets in zip(d, e, o):
-            if doc is not last:
-                last, words = doc, word_hashes(doc, cache=cache)
+            if doc != last:
+                last, words = doc, word_hashes([doc], cache)[0]
             if item not in items:
                 if len(items) > 10_000:
                     items.clear()
-                items[item] = word_hashes(item, cache=cache)
+                items[item] = word_hashes([item], cache)[0]
             out.append(holds(words, items[item], set(map(int, offsets))))
         yield pd.Series(out, dtype=bool)
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id for every document that holds an item. docs: doc_id, text; items: item_id, text.
-
-    Null and empty texts hold nothing; an item of fewer than w + k - 1 words is a common phrase, not a passage.
-    Repeated ids come out once. A hash that is common to many items meets each of them, without a cap.
-    """
-    items = items.where(F.size(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{N}\p{M}]+"), F.lit(0))) >= K + WINDOW - 1)
-    test = items.select("item_id", F.inline(fingerprints("text"))).withColumnRenamed("at", "item_at")
+def _leaks(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    test = fingerprints(items, "item_id", k).withColumnRenamed("at", "item_at")
+    wanted = None
     if test.limit(BROADCAST_FINGERPRINTS + 1).count() <= BROADCAST_FINGERPRINTS:
+        wanted = np.array(sorted({r.h for r in test.select("h").toLocalIterator()}), np.int64)
         test = F.broadcast(test)
-    train = docs.select("doc_id", F.inline(fingerprints("text")))
     hits = (
-        train.join(test, "h")
+        fingerprints(docs, "doc_id", k, wanted)
+        .join(test, "h")
         .groupBy("doc_id", "item_id")
         .agg(F.collect_set(F.col("at") - F.col("item_at")).alias("offsets"))  # at most the length of the two texts
     )
@@ -131,10 +152,24 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
         .join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
         .where(verified("text", "item_text", "offsets"))
         .select("doc_id", "item_id")
-        .distinct()
     )
 
 
+def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, item_id for every document that holds an item. docs: doc_id, text; items: item_id, text.
+
+    Null and empty texts hold nothing; an item of fewer than WINDOW + K_SHORT - 1 words is a common phrase, not a
+    passage. Repeated ids come out once. A hash that many items share meets each of them, without a cap.
+    """
+    n_words = F.size(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0)))
+    sized = items.where("text is not null").withColumn("_n", n_words)
+    found = _leaks(docs, sized.where(F.col("_n") >= STRETCH).drop("_n"), K_LONG)
+    short = sized.where((F.col("_n") >= WINDOW + K_SHORT - 1) & (F.col("_n") < STRETCH)).drop("_n")
+    if short.limit(1).count():
+        found = found.unionByName(_leaks(docs, short, K_SHORT))
+    return found.distinct()
+
+
 def p8_found(spark: SparkSession, data_dir: str) -> DataFrame:
     return leaks(table(spark, data_dir, "documents").select("doc_id", "text"), table(spark, data_dir, "eval_items").select("item_id", "text"))
 
