@@ -16,18 +16,27 @@ from quillwork.plans.scalar_queries import entry_text
 A = "assistant_response"
 
 
+#: A key is hot above this many rows: openings, normalised answers, fingerprints, sentences.
+HOT = {"o": 5, "n": 1, "p": 2, "s": 15}
+
+
 def audited(d: Dialect) -> str:
-    """CTEs of the corpus audit: keys of each answer, and the keys that recur."""
+    """CTEs of the corpus audit. All keys of an answer go through one count; the hot ones come back as flags of the row.
+
+    Texts never take part in a shuffle: first only keys are counted, then only ids that hold a hot key are joined.
+    """
+    norm = X.norm_a(d, A)
+    patterns = d.trans(d.filt(d.trans(d.sentences(A), "v", X.norm_a(d, "v")), "v", f"{d.size(X.tokens(d, 'v'))} >= 6"), "v", "concat('s', md5(v))")
+    single = d.compact([f"CASE WHEN {X.opening(d, A)} <> '' THEN concat('o', md5({X.opening(d, A)})) END", f"concat('n', md5({norm}))", f"CASE WHEN {norm} <> '' THEN concat('p', md5({X.fingerprint(d, A)})) END"])
+    limit = "CASE substr(k, 1, 1) " + " ".join(f"WHEN '{kind}' THEN {n}" for kind, n in HOT.items()) + " END"
+    flag = lambda kind: f"max(CASE WHEN substr(k, 1, 1) = '{kind}' THEN 1 END)"
     return f"""
-base AS (SELECT id, {A} AS t, {X.opening(d, A)} AS opening, md5({X.norm_a(d, A)}) AS norm_key, md5({X.fingerprint(d, A)}) AS print_key, {X.norm_a(d, A)} AS norm, {d.size(X.tokens(d, A))} AS n_words
-  FROM {d.table('training_examples')} WHERE {A} IS NOT NULL),
-sentences AS (SELECT id, {X.norm_a(d, 's')} AS s FROM (SELECT id, {d.explode(d.sentences('t'))} AS s FROM base) q),
-patterns AS (SELECT md5(s) AS pattern, count(*) AS n FROM sentences WHERE {d.size(X.tokens(d, 's'))} >= 6 GROUP BY md5(s)),
-often AS (SELECT DISTINCT id AS often_id FROM sentences JOIN (SELECT pattern FROM patterns WHERE n > 15) p ON md5(s) = pattern),
-openings AS (SELECT opening AS o_key, count(*) AS n_opening FROM base WHERE opening <> '' GROUP BY opening HAVING count(*) > 5),
-norms AS (SELECT norm_key AS n_key, count(*) AS n_norm FROM base GROUP BY norm_key HAVING count(*) > 1),
-prints AS (SELECT print_key AS p_key, count(*) AS n_print FROM base WHERE norm <> '' GROUP BY print_key HAVING count(*) > 2),
-keyed AS (SELECT base.*, n_opening, n_norm, n_print, often_id FROM base LEFT JOIN openings ON opening = o_key LEFT JOIN norms ON norm_key = n_key LEFT JOIN prints ON print_key = p_key LEFT JOIN often ON id = often_id)"""
+answers AS (SELECT id, {A} FROM {d.table('training_examples')} WHERE {A} IS NOT NULL),
+keys AS (SELECT id, {d.explode(d.cat(single, patterns))} AS k FROM answers),
+counted AS (SELECT k, count(*) AS n FROM keys GROUP BY k),
+hot AS (SELECT k AS hot_key FROM counted WHERE n > {limit}),
+flags AS (SELECT id AS flag_id, {flag('o')} AS n_opening, {flag('n')} AS n_norm, {flag('p')} AS n_print, {flag('s')} AS often_id FROM keys JOIN hot ON k = hot_key GROUP BY id),
+keyed AS (SELECT id, {A} AS t, {d.size(X.tokens(d, A))} AS n_words, n_opening, n_norm, n_print, often_id FROM answers LEFT JOIN flags ON id = flag_id)"""
 
 
 def audit_rules(d: Dialect) -> list[Rule]:
@@ -55,11 +64,8 @@ SELECT id, score, {d.join('found', '|')} AS issues, {status_sql(d, 'score', 'fou
 
 
 def corpus_stats(d):
-    return f"""WITH {audited(d)}
-SELECT 'opening' AS kind, md5(opening) AS key, count(*) AS n FROM base WHERE opening <> '' GROUP BY opening
-UNION ALL SELECT 'response', norm_key, count(*) FROM base GROUP BY norm_key
-UNION ALL SELECT 'fingerprint', print_key, count(*) FROM base WHERE norm <> '' GROUP BY print_key
-UNION ALL SELECT 'sentence', pattern, n FROM patterns"""
+    kind = "CASE substr(k, 1, 1) WHEN 'o' THEN 'opening' WHEN 'n' THEN 'response' WHEN 'p' THEN 'fingerprint' ELSE 'sentence' END"
+    return f"WITH {audited(d)} SELECT {kind} AS kind, substr(k, 2) AS key, n FROM counted"
 
 
 def corpus_stats_b(d):

@@ -23,9 +23,10 @@ def read_chat_lines(spark: SparkSession, path: str, strict: bool = False) -> Dat
 
 
 def first_error(m, line):
-    missing = F.lit(False)
-    for role in ROLES:
-        missing = missing | ~F.exists(m, lambda x, r=role: x.role == r)
+    def holds(role: str):
+        return F.exists(m, lambda x: x.role == role)
+
+    missing = ~holds(ROLES[0]) | ~holds(ROLES[1]) | ~holds(ROLES[2])
     return (
         F.when(~F.trim(line).like("{%}"), "malformed")
         .when(m.isNull() | (F.size(m) == 0), "no_messages")
