@@ -11,13 +11,23 @@ from pyspark.sql import SparkSession
 _shipped: set[str] = set()
 
 
+def _folder(spark: SparkSession, app: str) -> Path:
+    """The shared folder of the cluster where it is a file system path; else a folder of the driver, which serves the file."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared and (shared.startswith("file:") or shared.startswith("/")):
+        folder = Path(shared.removeprefix("file://").removeprefix("file:")) / f"quillwork-{app}"
+        folder.mkdir(parents=True, exist_ok=True)
+        return folder
+    return Path(tempfile.mkdtemp(prefix="quillwork-ship-"))
+
+
 def ship(spark: SparkSession) -> None:
     """Add the package as a zip file to the session, once; workers may run on other machines or in other folders."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
-    target = Path(tempfile.mkdtemp(prefix="quillwork-ship-")) / "quillwork.zip"
+    target = _folder(spark, app) / "quillwork.zip"
     with zipfile.ZipFile(target, "w") as z:
         for p in sorted(root.rglob("*.py")):
             z.write(p, p.relative_to(root.parent))
