@@ -6,7 +6,6 @@ foreachBatch), rows that the sink already holds are left out, and the trigger en
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +32,8 @@ def audit_stream(spark: SparkSession, data_dir: str, sink: str, state: str) -> N
 
     def one(batch: DataFrame, _: int) -> None:
         new = batch.select("id").distinct()
-        if os.path.isdir(sink) and any(f.endswith(".parquet") for f in os.listdir(sink)):
+        done = spark._jvm.org.apache.hadoop.fs.Path(sink, "_SUCCESS")
+        if done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
             new = new.join(spark.read.parquet(sink).select("id"), "id", "left_anti")  # replays after a failure
         judged.join(new, "id", "left_semi").write.mode("append").parquet(sink)
 
