@@ -25,14 +25,15 @@ def audited(d: Dialect) -> str:
 
     Texts never take part in a shuffle: first only keys are counted, then only ids that hold a hot key are joined.
     """
-    norm = X.norm_a(d, A)
     patterns = d.trans(d.filt(d.trans(d.sentences(A), "v", X.norm_a(d, "v")), "v", f"{d.size(X.tokens(d, 'v'))} >= 6"), "v", "concat('s', md5(v))")
-    single = d.compact([f"CASE WHEN {X.opening(d, A)} <> '' THEN concat('o', md5({X.opening(d, A)})) END", f"concat('n', md5({norm}))", f"CASE WHEN {norm} <> '' THEN concat('p', md5({X.fingerprint(d, A)})) END"])
+    first_words = d.join(d.slice(X.tokens(d, "norm"), 1, 40), " ")
+    single = d.compact(["CASE WHEN opening <> '' THEN concat('o', md5(opening)) END", "concat('n', md5(norm))", f"CASE WHEN norm <> '' THEN concat('p', md5({first_words})) END"])
     limit = "CASE substr(k, 1, 1) " + " ".join(f"WHEN '{kind}' THEN {n}" for kind, n in HOT.items()) + " END"
     flag = lambda kind: f"max(CASE WHEN substr(k, 1, 1) = '{kind}' THEN 1 END)"
     return f"""
 answers AS (SELECT id, {A} FROM {d.table('training_examples')} WHERE {A} IS NOT NULL),
-keys AS (SELECT id, {d.explode(d.cat(single, patterns))} AS k FROM answers),
+forms AS (SELECT id, {A}, {X.norm_a(d, A)} AS norm, {X.opening(d, A)} AS opening FROM answers),
+keys AS (SELECT id, {d.explode(d.cat(single, patterns))} AS k FROM forms),
 counted AS (SELECT k, count(*) AS n FROM keys GROUP BY k),
 hot AS (SELECT k AS hot_key FROM counted WHERE n > {limit}),
 flags AS (SELECT id AS flag_id, {flag('o')} AS n_opening, {flag('n')} AS n_norm, {flag('p')} AS n_print, {flag('s')} AS often_id FROM keys JOIN hot ON k = hot_key GROUP BY id),
