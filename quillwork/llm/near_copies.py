@@ -8,7 +8,7 @@ tokens of a text, and its prefix is the first of them; two texts of similarity s
 probability s. The filters of ROWS orders are intersected in one key, and BANDS such intersections are united, so a
 pair is a candidate if it shares all prefixes of any of them. Tokens that more than COMMON of the texts hold rank
 behind the others: they are left out of the orders while a text has enough rarer tokens. Then every candidate is
-verified exactly. Before that a parity sketch of 128 bits prunes without loss: two bags differ in at least as many
+verified exactly. Before that a parity sketch of 96 bits prunes without loss: two bags differ in at least as many
 tokens as their sketches differ in bits. Texts with equal bags are merged first, so copies are one text in the search.
 
 The chance to miss a pair is (1 - r^ROWS)^BANDS for a share r of common rare tokens; see README for measured recall.
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillwork.plans.lineage import cut
+from quillwork.plans.lineage import cut, cut_table
 from quillwork.sources.tables import table
 
 THRESHOLD, LEAST_WORDS = 0.8, 30
@@ -135,7 +135,7 @@ def prefix_keys(tokens: np.ndarray, lengths: np.ndarray, way: int) -> np.ndarray
     return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)  # a chance match of 32 bits costs one verification
 
 
-MEMBER = "record_table string, record_id long, bag string, size int, low_bits long, high_bits long, keys array<int>"
+MEMBER = "record_table string, record_id long, bag binary, size short, low_bits long, high_bits int, keys array<int>"
 
 
 def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
@@ -158,12 +158,12 @@ def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
             owner = np.repeat(np.arange(len(own)), own)
             ends = np.cumsum(own)
             starts = ends - own
-            bags = [xxhash.xxh3_128_hexdigest(tokens[i:j].tobytes()) for i, j in zip(starts, ends)]
+            bags = [xxhash.xxh3_128_digest(tokens[i:j].tobytes()) for i, j in zip(starts, ends)]
             head = {"record_table": b["record_table"].to_numpy()[keep], "record_id": b["record_id"].to_numpy()[keep], "bag": bags}
             at = tokens >> np.uint64(57)
-            bits = np.uint64(1) << (at & np.uint64(63))
-            upper = at >= 64
-            low_bits, high_bits = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), starts).view(np.int64) for half in (~upper, upper))
+            bits = np.uint64(1) << np.where(at < 64, at, at & np.uint64(31))
+            low_bits, high_bits = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), starts) for half in (at < 64, at >= 64))
+            low_bits, high_bits = low_bits.view(np.int64), high_bits.astype(np.uint32).view(np.int32)
             rare = ~among(tokens.view(np.int64), common)
             n_rare = np.add.reduceat(rare.astype(np.int64), starts)
             share = n_rare / own
@@ -175,7 +175,7 @@ def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
                     some = prefix_keys(tokens[mask & chosen[owner]], n[at], way) + table_salt[at][:, None]
                     for i, row in zip(at, some):
                         keys[i].append(row)
-            yield pd.DataFrame({**head, "size": own.astype(np.int32), "low_bits": low_bits, "high_bits": high_bits, "keys": [np.concatenate(k) for k in keys]})
+            yield pd.DataFrame({**head, "size": np.minimum(own, 32_767).astype(np.int16), "low_bits": low_bits, "high_bits": high_bits, "keys": [np.concatenate(k) for k in keys]})
 
     return texts.mapInPandas(prepare, MEMBER)
 
@@ -197,15 +197,16 @@ def verified(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members record_table, record_id, bag, n (texts of the bag); pairs record_table, bag_a, bag_b of similarity THRESHOLD or more between different bags."""
-    members = cut(members_of(texts, common_tokens(texts)))
+    members = cut_table(members_of(texts, common_tokens(texts)))
     # a text is one number: its record id, and the table in the last bit
     bags = members.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep"), F.first("size").alias("size"), F.first("low_bits").alias("low_bits"), F.first("high_bits").alias("high_bits"), F.first("keys").alias("keys"))
     rep = F.col("rep") * 2 + F.when(F.col("record_table") == "chat_records", 1).otherwise(0)
     keyed = bags.select(rep.alias("rep"), "size", "low_bits", "high_bits", F.explode("keys").alias("key"))
     one, two = keyed.alias("x"), keyed.alias("y")  # alike, so that one exchange serves both sides
-    differ = (F.col("x.size") + F.col("y.size")) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-9  # tokens in which two bags of the threshold can differ
-    apart = F.bit_count(F.col("x.low_bits").bitwiseXOR(F.col("y.low_bits"))) + F.bit_count(F.col("x.high_bits").bitwiseXOR(F.col("y.high_bits")))
-    near = (F.col("x.rep") < F.col("y.rep")) & (F.abs(F.col("x.size") - F.col("y.size")) <= differ) & (apart <= differ)
+    differ = (F.col("x.size").cast("int") + F.col("y.size").cast("int")) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-9  # tokens in which two bags of the threshold can differ
+    apart = F.bit_count(F.col("x.low_bits").bitwiseXOR(F.col("y.low_bits"))) + F.bit_count(F.col("x.high_bits").bitwiseXOR(F.col("y.high_bits")).cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
+    longest = (F.col("x.size") == 32_767) | (F.col("y.size") == 32_767)  # sizes end there, so such texts pass the filters
+    near = (F.col("x.rep") < F.col("y.rep")) & (longest | ((F.abs(F.col("x.size") - F.col("y.size")) <= differ) & (apart <= differ)))
     # the planner does not see that explode multiplies the rows, so it is told to sort and merge
     candidates = cut(one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     ids = candidates.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
@@ -222,13 +223,12 @@ def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def p4_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """All pairs of records: those of similar bags, and those of one bag."""
     members, pairs = similar_bags(near_texts(spark, data_dir))
+    several = members.groupBy("record_table", "bag").agg(F.count("*").alias("n")).where("n > 1").select("record_table", F.col("bag").alias("bag_a"), F.col("bag").alias("bag_b"))
     one = members.select("record_table", F.col("bag").alias("bag_a"), F.col("record_id").alias("r1"))
     two = members.select("record_table", F.col("bag").alias("bag_b"), F.col("record_id").alias("r2"))
-    several = members.groupBy("record_table", "bag").agg(F.count("*").alias("n")).where("n > 1").select("record_table", F.col("bag").alias("bag_a"), F.col("bag").alias("bag_b"))
-    between = pairs.join(one, ["record_table", "bag_a"]).join(two, ["record_table", "bag_b"]).where("r1 <> r2")
-    within = several.join(one, ["record_table", "bag_a"]).join(two, ["record_table", "bag_b"]).where("r1 < r2")
-    both = between.select("record_table", "r1", "r2").unionByName(within.select("record_table", "r1", "r2"))
-    return both.select("record_table", F.least("r1", "r2").alias("record_a"), F.greatest("r1", "r2").alias("record_b"))
+    both = pairs.unionByName(several).join(one, ["record_table", "bag_a"]).join(two, ["record_table", "bag_b"])
+    # within a bag each pair comes out twice, once each way round
+    return both.where((F.col("bag_a") != F.col("bag_b")) | (F.col("r1") < F.col("r2"))).select("record_table", F.least("r1", "r2").alias("record_a"), F.greatest("r1", "r2").alias("record_b"))
 
 
 def p4_classes(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -237,4 +237,4 @@ def p4_classes(spark: SparkSession, data_dir: str) -> DataFrame:
     ends = pairs.select("record_table", F.explode(F.array("bag_a", "bag_b")).alias("bag"))
     links = ends.groupBy("record_table", "bag").agg(F.count("*").alias("n_links"))
     sizes = members.groupBy("record_table", "bag").agg(F.count("*").alias("n_copies"))
-    return members.join(sizes.join(links, ["record_table", "bag"], "left").fillna(0, ["n_links"]), ["record_table", "bag"]).select("record_table", "record_id", F.col("bag").alias("class"), "n_copies", "n_links")
+    return members.join(sizes.join(links, ["record_table", "bag"], "left").fillna(0, ["n_links"]), ["record_table", "bag"]).select("record_table", "record_id", F.hex("bag").alias("class"), "n_copies", "n_links")
