@@ -282,3 +282,28 @@ def test_scan_noise(spark, tables):
     fixed = {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, filled(tables, canonical_verses=rows)).collect()}
     want = "The patient grandmother keeps the lantern near the granary."
     assert all(fixed[i] == want for i in (101, 102, 103, 104, 106)), fixed
+
+
+def verses(tables, plain, noisy):
+    rows = [(i, None, None, None, t, None, i, None, None) for i, t in enumerate(plain)] + [(i, None, None, None, t, None, i, None, None) for i, t in noisy.items()]
+    return filled(tables, canonical_verses=rows)
+
+
+def test_scan_noise_bracket_for_c(spark, tables):
+    plain = ["The clear voice (of such watchmen) calls, and each child carries water across the court."] * 40
+    noisy = {
+        101: "The clear voice (of su(h watchmen) calls, and each child carries water across the court.",
+        102: "The (lear voice (of such watchmen) calls, and each child carries water across the court.",
+        103: "The clear voice (of such watchmen) calls, and each child (ar-\nries water across the court.",
+        104: "The clear voice (of such watchmen) calls, and each child(ren) (carries) water (2.1) across the court.",
+        105: "The clear voice (of such watchmen calls, and each child carries water across the court.",
+    }
+    d = verses(tables, plain, noisy)
+    assert {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()} == {(101, "misread"), (102, "misread"), (103, "misread"), (103, "broken_word")}
+    fixed = {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()}
+    assert fixed == dict.fromkeys((101, 102, 103), plain[0])
+
+
+def test_scan_noise_keeps_other_brackets(spark, tables):
+    d = verses(tables, ["The clear voice calls each child across the court."] * 40, {101: "The clear voicc (or whatever) calls each child (across the court."})
+    assert {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()} == {101: "The clear voice (or whatever) calls each child (across the court."}
