@@ -307,3 +307,16 @@ def test_scan_noise_bracket_for_c(spark, tables):
 def test_scan_noise_keeps_other_brackets(spark, tables):
     d = verses(tables, ["The clear voice calls each child across the court."] * 40, {101: "The clear voicc (or whatever) calls each child (across the court."})
     assert {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()} == {101: "The clear voice (or whatever) calls each child (across the court."}
+
+
+def test_confusions_of_letters_run_both_ways():
+    pairs = {(a, b) for a, b in scan_noise.CONFUSIONS if a.isalpha() and b.isalpha()}
+    assert pairs == {(b, a) for a, b in pairs}
+
+
+def test_scan_noise_h_for_li(spark, tables):
+    plain = ["The foolish traveller outlives the candlelight near the shoreline."] * 40
+    noisy = {101: "The foohsh traveller outlives the candlelight near the shoreline.", 102: "The foolish traveller outhves the candlehght near the shoreline.", 103: "The foolish traveller outlived the candlelight near the shorelines."}
+    d = verses(tables, plain, noisy)
+    assert {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()} == {(101, "misread"), (102, "misread")}
+    assert {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()} == dict.fromkeys((101, 102), plain[0])
