@@ -4,8 +4,8 @@ Winnowing: of the hashes of all k-grams of words the smallest in every window of
 texts that share w + k - 1 words in a row share a kept hash. The fingerprints of documents and items are joined,
 each hit gives a diagonal (document word minus item word), and the diagonal is extended word by word.
 
-A stretch of 24 words with at most one in twelve exchanged has at least eight equal words in a row: k = 6 and w = 3
-guarantee eight. A whole item of 12 to 23 words has at least six: such short items are looked for with k = 4.
+A stretch of 24 or more words with at most one in twelve exchanged has at least eight equal words in a row: k = 6 and
+w = 3 guarantee eight. A whole item of 12 to 23 words has at least six: such short items are looked for with k = 4.
 """
 
 from __future__ import annotations
@@ -98,21 +98,24 @@ def fingerprints(texts: DataFrame, key: str, k: int, wanted: np.ndarray | None =
 
 
 def holds(doc: np.ndarray, item: np.ndarray, offsets: set[int]) -> bool:
-    """Whether a diagonal holds the whole item, or STRETCH words of it, with at most one word in twelve exchanged.
+    """Whether a diagonal holds the whole item, or STRETCH or more words of it, with at most one in twelve exchanged.
 
     A stretch begins and ends with an equal word, else any 22 words would count for 24.
     """
     n = len(item)
+    least = min(STRETCH, n)
     for o in offsets:
         lo, hi = max(0, -o), min(n, len(doc) - o)
-        need = min(STRETCH, n)
-        if hi - lo < need:
+        if hi - lo < least:
             continue
         same = doc[lo + o : hi + o] == item[lo:hi]
         wrong = np.concatenate([[0], np.cumsum(~same)])
-        if (wrong[need:] - wrong[:-need] <= need // PER_EXCHANGED)[same[: len(same) - need + 1] & same[need - 1 :]].any():
+        if hi - lo == n and wrong[-1] <= n // PER_EXCHANGED:
             return True
-        if n < STRETCH and hi - lo == n and wrong[-1] <= n // PER_EXCHANGED:
+        # a stretch from i to j is allowed if excess[j] <= excess[i]: the best begin so far stands for all
+        excess = PER_EXCHANGED * wrong - np.arange(len(wrong))
+        begin = np.maximum.accumulate(np.where(same, excess[:-1], -len(wrong) - 1))[: len(same) - least + 1]
+        if (excess[least:] <= begin)[same[least - 1 :]].any():
             return True
     return False
 

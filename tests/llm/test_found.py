@@ -320,3 +320,31 @@ def test_scan_noise_h_for_li(spark, tables):
     d = verses(tables, plain, noisy)
     assert {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()} == {(101, "misread"), (102, "misread")}
     assert {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()} == dict.fromkeys((101, 102), plain[0])
+
+
+def test_leakage_stretches_of_any_length(spark, tables):
+    item = [f"t{k}" for k in range(60)]
+
+    def doc(start, length, *exchanged):
+        return " ".join(["zero"] * 30 + ["other" if k in exchanged else item[start + k] for k in range(length)] + ["zero"] * 30)
+
+    docs = [doc(10, 36, 12, 17, 23), doc(10, 25, 1, 23), doc(10, 35, 12, 17, 23), doc(10, 24, 1, 23), doc(0, 60, 0, 11, 22, 33, 59), doc(10, 23)]
+    d = filled(tables, documents=[(i, t, None, None, None) for i, t in enumerate(docs)], eval_items=[(1, " ".join(item), None)])
+    assert set(got(leakage.p8_found, spark, d)) == {(0, 1), (1, 1), (4, 1)}
+
+
+def test_holds_equals_brute_force():
+    rnd = random.Random(6)
+
+    def brute(same):
+        n = len(same)
+        return sum(not x for x in same) * 12 <= n or any(same[i] and same[j - 1] and 12 * (j - i - sum(same[i:j])) <= j - i for i in range(n) for j in range(i + 24, n + 1))
+
+    seen = set()
+    for _ in range(1500):
+        n = rnd.randrange(24, 70)
+        same = [rnd.random() > rnd.choice((0.05, 0.1, 0.15)) for _ in range(n)]
+        item = leakage.np.arange(n)
+        assert leakage.holds(leakage.np.where(same, item, -1), item, {0}) == brute(same)
+        seen.add(brute(same))
+    assert seen == {True, False}
