@@ -141,8 +141,9 @@ MEMBER = "record_table string, record_id long, bag string, size int, low_bits lo
 def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     """record_table, record_id, bag (a key that equal bags share), size, sketch and prefix keys of each text of enough words.
 
-    A text that has few rare tokens ranks all its tokens, one that has many ranks the rare ones, one between does
-    both; the two ways have different keys, and their ranges overlap by more than two texts of the threshold differ.
+    A text that has few rare tokens ranks all its tokens, one that has hardly any others ranks the rare ones, one
+    between does both; the two ways have different keys, and their ranges overlap by more than two texts of the
+    threshold differ.
     """
 
     def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,7 +170,7 @@ def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
             share = n_rare / own
             keys: list[list[np.ndarray]] = [[] for _ in own]
             table_salt = np.where(b["record_table"].to_numpy()[keep] == "chat_records", 7, 0).astype(np.int32)
-            for way, chosen, mask, n in ((1, (share >= 0.2) & (n_rare > 0), rare, n_rare), (2, share < 0.45, np.ones(len(tokens), bool), own)):
+            for way, chosen, mask, n in ((1, (share >= 0.2) & (n_rare > 0), rare, n_rare), (2, share < 0.9, np.ones(len(tokens), bool), own)):
                 at = np.flatnonzero(chosen)
                 if len(at):
                     some = prefix_keys(tokens[mask & chosen[owner]], n[at], way) + table_salt[at][:, None]

@@ -348,3 +348,17 @@ def test_holds_equals_brute_force():
         assert leakage.holds(leakage.np.where(same, item, -1), item, {0}) == brute(same)
         seen.add(brute(same))
     assert seen == {True, False}
+
+
+def test_near_copies_edited_in_rare_words_only(spark, tables):
+    rnd = random.Random(9)
+    rows = []
+    for n in range(500):
+        # 18 common words, 18 rare ones of which 4 are exchanged: 32 of 40 words shared
+        shared = [f"common{k}" for k in range(18)] + [f"r{n}x{k}" for k in range(14)]
+        for v in range(2):
+            words = shared + [f"r{n}y{v}x{k}" for k in range(4)]
+            rnd.shuffle(words)
+            rows.append((2 * n + v, " ".join(words)))
+    d = filled(tables, training_examples=[(i, None, t, None, None) for i, t in rows])
+    assert set(got(near_copies.p4_found, spark, d)) == {("training_examples", 2 * n, 2 * n + 1) for n in range(500)}
