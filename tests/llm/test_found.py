@@ -362,3 +362,11 @@ def test_near_copies_edited_in_rare_words_only(spark, tables):
             rows.append((2 * n + v, " ".join(words)))
     d = filled(tables, training_examples=[(i, None, t, None, None) for i, t in rows])
     assert set(got(near_copies.p4_found, spark, d)) == {("training_examples", 2 * n, 2 * n + 1) for n in range(500)}
+
+
+def test_scan_noise_two_letters(spark, tables):
+    plain = ["The lantern of the house burns while it rains at 5 p.m. in the 2d month."] * 40
+    noisy = {101: "The lantern 0f the house burns while it rains at 5 p.m. in the 2d month.", 102: "The lantern of the house burns while 1t rains @t 5 p.m. in the 2d month."}
+    d = verses(tables, plain, noisy)
+    assert {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()} == {(101, "misread"), (102, "misread")}
+    assert {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()} == dict.fromkeys((101, 102), plain[0])
