@@ -5,35 +5,42 @@ a token of its own (word, occurrence), so a bag is a set of tokens.
 
 Candidates come from several global token orders. Each order (a seeded hash, so it is the same everywhere) ranks the
 tokens of a text, and its prefix is the first of them; two texts of similarity s share the prefix of an order with
-probability s. The filters of ROWS orders are intersected in one key, and BANDS such intersections are united, so a
-pair is a candidate if it shares all prefixes of any of them. Tokens that more than COMMON of the texts hold rank
-behind the others: they are left out of the orders while a text has enough rarer tokens. Then every candidate is
-verified exactly. Before that a parity sketch of 128 bits prunes without loss: two bags differ in at least as many
-tokens as their sketches differ in bits. Texts with equal bags are merged first, so copies are one text in the search.
-
-The chance to miss a pair is (1 - r^ROWS)^BANDS for a share r of common rare tokens; see README for measured recall.
+probability s. The filters of several orders are intersected in one key, and such keys are united, so a pair is a
+candidate if it shares all prefixes of any of them. There are two families of orders: in RARE_WAY the tokens that more
+than COMMON of the texts hold rank behind all others, in WHOLE_WAY all tokens rank alike and more orders are
+intersected. Before a candidate is verified exactly on its tokens, a parity sketch of 128 bits prunes without loss: two
+bags differ in at least as many tokens as their sketches differ in bits.
+
+Every text is tokenised once; its tokens are kept in a compressed table, from which counts, keys and the verification
+are taken. Texts of equal bags are one text in the search. The search is a sort-merge join of the keys with themselves;
+the number of its partitions follows the number of keys, and a hot key is split by the adaptive skew join.
+
+The chance to miss a pair is the product over both families of (1 - r^orders)^keys for a share r of common tokens in
+the family; see README for measured recall. Nulls, and texts under LEAST_WORDS words, take no part; empty tables give
+an empty result.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quillwork.plans.lineage import cut
+from quillwork.plans.lineage import cut, cut_table, partitions
 from quillwork.sources.tables import table
 
 THRESHOLD, LEAST_WORDS = 0.8, 30
-ROWS, BANDS = 4, 24
+#: (intersected orders, keys) of a family.
+RARE_WAY, WHOLE_WAY = (4, 18), (7, 12)
+#: Shares of rare tokens from which the orders over rare tokens are used, and below which those over all tokens are.
+RARE_FROM, WHOLE_BELOW = 0.2, 0.9
 COMMON = 0.08
-#: Ids of candidates are broadcast up to this many (8 bytes each); beyond it all texts are shuffled.
-BROADCAST_IDS = 1_000_000
-MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+#: Keys a task of the join shall read.
+TASK_KEYS = 400_000
+MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -59,11 +66,13 @@ def bag_tokens(texts: list[str], cache: dict[str, int]) -> tuple[np.ndarray, np.
         words = ascii_word.findall(low) if low.isascii() else any_word.findall(low)
         if len(cache) > 1_000_000:
             cache.clear()
-        for w in words:
-            h = cache.get(w)
-            if h is None:
-                h = cache[w] = xxhash.xxh64_intdigest(w)
-            flat.append(h)
+        try:
+            flat += [cache[w] for w in words]
+        except KeyError:
+            for w in words:
+                if w not in cache:
+                    cache[w] = xxhash.xxh64_intdigest(w)
+            flat += [cache[w] for w in words]
         lengths[i] = len(words)
     n = len(flat)
     if n == 0:
@@ -76,7 +85,7 @@ def bag_tokens(texts: list[str], cache: dict[str, int]) -> tuple[np.ndarray, np.
     start[new] = new
     nth = (np.arange(n) - np.maximum.accumulate(start)).astype(np.uint64)  # the occurrence makes repeats tokens of their own
     with np.errstate(over="ignore"):
-        return mixed((both & np.uint64((1 << 44) - 1)) + nth * np.uint64(0x9E3779B97F4A7C15)), lengths
+        return mixed((both & np.uint64((1 << 44) - 1)) + nth * STEP), lengths
 
 
 def among(tokens: np.ndarray, sorted_: np.ndarray) -> np.ndarray:
@@ -96,146 +105,134 @@ def near_texts(spark: SparkSession, data_dir: str) -> DataFrame:
     return examples.unionByName(chats).where("text is not null")
 
 
-def common_tokens(texts: DataFrame) -> np.ndarray:
-    """Tokens of more than COMMON of the texts. There are at most (mean words of a text) / COMMON of them, however many texts."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, int] = {}
-        held, n, texts_ = np.empty(0, np.int64), np.empty(0, np.int64), 0
-        for b in batches:
-            tokens, lengths = bag_tokens(b["text"].tolist(), cache)
-            tokens = tokens[np.repeat(lengths >= LEAST_WORDS, lengths)].view(np.int64)
-            texts_ += int((lengths >= LEAST_WORDS).sum())
-            t, m = np.unique(tokens, return_counts=True)
-            held, at = np.unique(np.concatenate([held, t]), return_inverse=True)
-            n = np.bincount(at, weights=np.concatenate([n, m]), minlength=len(held)).astype(np.int64)
-            if len(held) > 2_000_000:
-                yield pd.DataFrame({"t": held, "n": n, "texts": False})
-                held, n = np.empty(0, np.int64), np.empty(0, np.int64)
-        yield pd.DataFrame({"t": np.append(held, 0), "n": np.append(n, texts_), "texts": np.append(np.zeros(len(held), bool), True)})
-
-    counts = texts.select("text").mapInPandas(count, "t long, n long, texts boolean").groupBy("texts", "t").agg(F.sum("n").alias("n"))
-    total = F.broadcast(counts.where("texts").select(F.col("n").alias("total")))  # one row
-    frequent = counts.where("not texts").join(total, F.col("n") > COMMON * F.col("total")).select("t")
-    return np.array(sorted(r.t for r in frequent.toLocalIterator()), np.int64)
-
-
-def prefix_keys(tokens: np.ndarray, lengths: np.ndarray, way: int) -> np.ndarray:
-    """(texts, BANDS) keys: for every band the intersected one-token prefixes of its orders. Every length is positive."""
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    keys = np.empty((len(lengths), BANDS), np.uint64)
-    seed = mixed(np.arange(1, 2 * ROWS * BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).reshape(BANDS, ROWS, 2)
-    with np.errstate(over="ignore"):
-        for band in range(BANDS):
-            key = np.full(len(lengths), band + 1000 * way, np.uint64)
-            for a, b in seed[band]:
-                first = np.minimum.reduceat((tokens ^ a) * (b | np.uint64(1)), starts)
-                key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + first)
-            keys[:, band] = key
-    return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)  # a chance match of 32 bits costs one verification
-
-
-MEMBER = "record_table string, record_id long, bag string, size int, low_bits long, high_bits long, keys array<int>"
+BAG = "record_table string, record_id long, bag long, size int, low_bits long, high_bits long, tokens array<long>"
 
 
-def members_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """record_table, record_id, bag (a key that equal bags share), size, sketch and prefix keys of each text of enough words.
+def bags_of(texts: DataFrame) -> DataFrame:
+    """record_table, record_id, bag (a 64-bit key that equal bags of a table share), size, the two halves of the sketch, and the tokens of each text of enough words."""
 
-    A text that has few rare tokens ranks all its tokens, one that has hardly any others ranks the rare ones, one
-    between does both; the two ways have different keys, and their ranges overlap by more than two texts of the
-    threshold differ.
-    """
-
-    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         cache: dict[str, int] = {}
         for b in batches:
-            tokens, lengths = bag_tokens(b["text"].tolist(), cache)
+            names = b.column("record_table").to_pylist()
+            tokens, lengths = bag_tokens(b.column("text").to_pylist(), cache)
             keep = lengths >= LEAST_WORDS
             if not keep.any():
                 continue
             tokens, own = tokens[np.repeat(keep, lengths)], lengths[keep]
-            owner = np.repeat(np.arange(len(own)), own)
             ends = np.cumsum(own)
             starts = ends - own
-            bags = [xxhash.xxh3_128_hexdigest(tokens[i:j].tobytes()) for i, j in zip(starts, ends)]
-            head = {"record_table": b["record_table"].to_numpy()[keep], "record_id": b["record_id"].to_numpy()[keep], "bag": bags}
+            kept = np.flatnonzero(keep)
+            raw, salt = memoryview(tokens.view(np.uint8)), [xxhash.xxh32_intdigest(names[i]) for i in kept]
+            bags = np.array([xxhash.xxh3_64_intdigest(raw[8 * i : 8 * j], s) for i, j, s in zip(starts, ends, salt)], np.uint64).view(np.int64)
             at = tokens >> np.uint64(57)
             bits = np.uint64(1) << (at & np.uint64(63))
-            upper = at >= 64
-            low_bits, high_bits = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), starts).view(np.int64) for half in (~upper, upper))
-            rare = ~among(tokens.view(np.int64), common)
-            n_rare = np.add.reduceat(rare.astype(np.int64), starts)
-            share = n_rare / own
-            keys: list[list[np.ndarray]] = [[] for _ in own]
-            table_salt = np.where(b["record_table"].to_numpy()[keep] == "chat_records", 7, 0).astype(np.int32)
-            for way, chosen, mask, n in ((1, (share >= 0.2) & (n_rare > 0), rare, n_rare), (2, share < 0.9, np.ones(len(tokens), bool), own)):
-                at = np.flatnonzero(chosen)
-                if len(at):
-                    some = prefix_keys(tokens[mask & chosen[owner]], n[at], way) + table_salt[at][:, None]
-                    for i, row in zip(at, some):
-                        keys[i].append(row)
-            yield pd.DataFrame({**head, "size": own.astype(np.int32), "low_bits": low_bits, "high_bits": high_bits, "keys": [np.concatenate(k) for k in keys]})
+            low, high = (np.bitwise_xor.reduceat(np.where(half, bits, np.uint64(0)), starts).view(np.int64) for half in (at < 64, at >= 64))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(tokens.view(np.int64)))
+            ids = b.column("record_id").take(pa.array(kept))
+            yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in kept], pa.string()), ids, pa.array(bags), pa.array(own.astype(np.int32)), pa.array(low), pa.array(high), lists], names=[c.split()[0] for c in BAG.split(", ")])
 
-    return texts.mapInPandas(prepare, MEMBER)
+    return texts.mapInArrow(read, BAG)
 
 
-def similarity(a: str, b: str) -> float:
-    """Shared words over all words of two texts, repeats counted."""
-    import regex
+def common_tokens(bags: DataFrame) -> np.ndarray:
+    """Tokens of more than COMMON of the texts. There are at most (mean words of a text) / COMMON of them, however many texts."""
+    least = COMMON * bags.count()
+    frequent = bags.select(F.explode("tokens").alias("t")).groupBy("t").count().where(F.col("count") > least)
+    return np.array(sorted(r.t for r in frequent.select("t").toLocalIterator()), np.int64)
 
-    x, y = (Counter(regex.findall(r"[\p{L}\p{N}]+", t.lower())) for t in (a, b))
-    shared = sum((x & y).values())
-    return shared / max(1, sum(x.values()) + sum(y.values()) - shared)
 
+def prefix_keys(which: np.ndarray, starts: np.ndarray, vocabulary: np.ndarray, orders: int, n_keys: int, way: int) -> np.ndarray:
+    """(texts, n_keys): for every key the intersected one-token prefixes of its orders. `which` are places in the vocabulary; no text is empty."""
+    keys = np.empty((len(starts), n_keys), np.uint64)
+    seeds = mixed(np.arange(1, orders * n_keys + 1, dtype=np.uint64) * STEP + np.uint64(way)).reshape(n_keys, orders)
+    with np.errstate(over="ignore"):
+        for k in range(n_keys):
+            key = np.full(len(starts), k + 1000 * way, np.uint64)
+            for seed in seeds[k]:
+                rank = (mixed(vocabulary ^ seed) >> np.uint64(32)).astype(np.uint32)
+                key = mixed(key * STEP + np.minimum.reduceat(rank[which], starts))
+            keys[:, k] = key
+    return (keys >> np.uint64(32)).astype(np.uint32).view(np.int32)  # a chance match of 32 bits costs one comparison of sketches
+
+
+KEY = "key int, bag long, size int, low_bits long, high_bits long"
 
-@F.pandas_udf(T.BooleanType())
-def verified(a: pd.Series, b: pd.Series) -> pd.Series:
-    # a hair below the threshold, as 0.8 is no binary fraction
-    return pd.Series([similarity(x, y) >= THRESHOLD - 1e-12 for x, y in zip(a, b)], dtype=bool)
+
+def keys_of(bags: DataFrame, common: np.ndarray) -> DataFrame:
+    """A row for each key of each text; copies within a batch are merged.
+
+    A text of few rare tokens has keys over all its tokens, one of hardly any others has keys over the rare ones, one
+    between has both.
+    """
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bag = b.column("bag").to_numpy()
+            _, first = np.unique(bag, return_index=True)
+            b = b.take(pa.array(first))
+            bag, size, low, high = (b.column(c).to_numpy() for c in ("bag", "size", "low_bits", "high_bits"))
+            salt = np.where(np.array(b.column("record_table").to_pylist()) == "chat_records", 7, 0).astype(np.int32)
+            own = size.astype(np.int64)
+            flat = b.column("tokens").flatten().to_numpy()
+            vocabulary, which = np.unique(flat, return_inverse=True)
+            which = which.astype(np.int32)
+            rare = ~among(vocabulary, common)[which]
+            starts = np.cumsum(own) - own
+            n_rare = np.add.reduceat(rare.astype(np.int64), starts)
+            owner = np.repeat(np.arange(len(own)), own)
+            share = n_rare / own
+            everything = np.ones(len(flat), bool)
+            for way, (orders, n_keys), chosen, mask, n in ((1, RARE_WAY, (share >= RARE_FROM) & (n_rare > 0), rare, n_rare), (2, WHOLE_WAY, share < WHOLE_BELOW, everything, own)):
+                at = np.flatnonzero(chosen)
+                if not len(at):
+                    continue
+                some = prefix_keys(which[mask & chosen[owner]], np.cumsum(n[at]) - n[at], vocabulary.view(np.uint64), orders, n_keys, way) + salt[at][:, None]
+                rows = np.repeat(at, n_keys)
+                yield pa.RecordBatch.from_arrays([pa.array(some.ravel())] + [pa.array(x[rows]) for x in (bag, size, low, high)], names=[c.split()[0] for c in KEY.split(", ")])
+
+    return bags.select("record_table", "bag", "size", "low_bits", "high_bits", "tokens").mapInArrow(keys, KEY)
 
 
 def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): members record_table, record_id, bag, n (texts of the bag); pairs record_table, bag_a, bag_b of similarity THRESHOLD or more between different bags."""
-    members = cut(members_of(texts, common_tokens(texts)))
-    # a text is one number: its record id, and the table in the last bit
-    bags = members.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep"), F.first("size").alias("size"), F.first("low_bits").alias("low_bits"), F.first("high_bits").alias("high_bits"), F.first("keys").alias("keys"))
-    rep = F.col("rep") * 2 + F.when(F.col("record_table") == "chat_records", 1).otherwise(0)
-    keyed = bags.select(rep.alias("rep"), "size", "low_bits", "high_bits", F.explode("keys").alias("key"))
+    """(members, pairs): members record_table, record_id, bag; pairs bag_a, bag_b of similarity THRESHOLD or more between different bags of one table."""
+    spark = texts.sparkSession
+    bags = cut_table(bags_of(texts))
+    keyed = keys_of(bags, common_tokens(bags))
     one, two = keyed.alias("x"), keyed.alias("y")  # alike, so that one exchange serves both sides
-    differ = (F.col("x.size") + F.col("y.size")) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-9  # tokens in which two bags of the threshold can differ
+    both = F.col("x.size") + F.col("y.size")
+    differ = both * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-9  # tokens in which two bags of the threshold can differ
     apart = F.bit_count(F.col("x.low_bits").bitwiseXOR(F.col("y.low_bits"))) + F.bit_count(F.col("x.high_bits").bitwiseXOR(F.col("y.high_bits")))
-    near = (F.col("x.rep") < F.col("y.rep")) & (F.abs(F.col("x.size") - F.col("y.size")) <= differ) & (apart <= differ)
-    # the planner does not see that explode multiplies the rows, so it is told to sort and merge
-    candidates = cut(one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
-    ids = candidates.select(F.explode(F.array("a", "b")).alias("text_id")).distinct()
-    own = texts.select((F.col("record_id") * 2 + F.when(F.col("record_table") == "chat_records", 1).otherwise(0)).alias("text_id"), "text")
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:  # then only the texts of candidates are shuffled
-        own = own.join(F.broadcast(ids), "text_id", "left_semi")
-    left, right = (own.select(F.col("text_id").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
-    pairs = candidates.join(left, "a").join(right, "b").where(verified("text_a", "text_b")).select("a", "b")
-    reps = members.groupBy("record_table", "bag").agg(F.min("record_id").alias("rep")).select(rep.alias("text_id"), "record_table", "bag")
-    pairs = pairs.join(reps.select(F.col("text_id").alias("a"), "record_table", F.col("bag").alias("bag_a")), "a").join(reps.select(F.col("text_id").alias("b"), F.col("bag").alias("bag_b")), "b")
-    return members.select("record_table", "record_id", "bag"), pairs.select("record_table", "bag_a", "bag_b")
+    near = (F.col("x.bag") < F.col("y.bag")) & (F.abs(F.col("x.size") - F.col("y.size")) <= differ) & (apart <= differ)
+    # the planner does not see that the keys multiply the rows, so it is told to sort and merge
+    found = one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.bag").alias("bag_a"), F.col("y.bag").alias("bag_b")).distinct()
+    with partitions(spark, bags.count() * (RARE_WAY[1] + WHOLE_WAY[1]) // TASK_KEYS):
+        candidates = cut(found)
+    tokens = bags.groupBy("bag").agg(F.first("tokens").alias("tokens"))
+    for side in "ab":
+        candidates = candidates.join(tokens.select(F.col("bag").alias(f"bag_{side}"), F.col("tokens").alias(f"tokens_{side}")).hint("merge"), f"bag_{side}")
+    shared, total = F.size(F.array_intersect("tokens_a", "tokens_b")), F.size("tokens_a") + F.size("tokens_b")
+    # a hair below the threshold, as 0.8 is no binary fraction
+    pairs = candidates.where(shared >= (THRESHOLD - 1e-12) * (total - shared)).select("bag_a", "bag_b")
+    return bags.select("record_table", "record_id", "bag"), pairs
 
 
 def p4_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """All pairs of records: those of similar bags, and those of one bag."""
     members, pairs = similar_bags(near_texts(spark, data_dir))
     one = members.select("record_table", F.col("bag").alias("bag_a"), F.col("record_id").alias("r1"))
-    two = members.select("record_table", F.col("bag").alias("bag_b"), F.col("record_id").alias("r2"))
-    several = members.groupBy("record_table", "bag").agg(F.count("*").alias("n")).where("n > 1").select("record_table", F.col("bag").alias("bag_a"), F.col("bag").alias("bag_b"))
-    between = pairs.join(one, ["record_table", "bag_a"]).join(two, ["record_table", "bag_b"]).where("r1 <> r2")
-    within = several.join(one, ["record_table", "bag_a"]).join(two, ["record_table", "bag_b"]).where("r1 < r2")
-    both = between.select("record_table", "r1", "r2").unionByName(within.select("record_table", "r1", "r2"))
-    return both.select("record_table", F.least("r1", "r2").alias("record_a"), F.greatest("r1", "r2").alias("record_b"))
+    two = members.select(F.col("bag").alias("bag_b"), F.col("record_id").alias("r2"))
+    several = members.groupBy("bag").agg(F.count("*").alias("n")).where("n > 1").select(F.col("bag").alias("bag_a"), F.col("bag").alias("bag_b"))
+    linked = pairs.unionByName(several).join(one, "bag_a").join(two, "bag_b").where("bag_a <> bag_b or r1 < r2")
+    return linked.select("record_table", F.least("r1", "r2").alias("record_a"), F.greatest("r1", "r2").alias("record_b"))
 
 
 def p4_classes(spark: SparkSession, data_dir: str) -> DataFrame:
     """One row for each record of enough words: record_table, record_id, class (key of its equal bags), n_copies and n_links (similar other classes)."""
     members, pairs = similar_bags(near_texts(spark, data_dir))
-    ends = pairs.select("record_table", F.explode(F.array("bag_a", "bag_b")).alias("bag"))
-    links = ends.groupBy("record_table", "bag").agg(F.count("*").alias("n_links"))
-    sizes = members.groupBy("record_table", "bag").agg(F.count("*").alias("n_copies"))
-    return members.join(sizes.join(links, ["record_table", "bag"], "left").fillna(0, ["n_links"]), ["record_table", "bag"]).select("record_table", "record_id", F.col("bag").alias("class"), "n_copies", "n_links")
+    ends = pairs.select(F.explode(F.array("bag_a", "bag_b")).alias("bag"))
+    links = ends.groupBy("bag").agg(F.count("*").alias("n_links"))
+    sizes = members.groupBy("bag").agg(F.count("*").alias("n_copies"))
+    return members.join(sizes.join(links, "bag", "left").fillna(0, ["n_links"]), "bag").select("record_table", "record_id", F.col("bag").alias("class"), "n_copies", "n_links")
