@@ -29,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillwork.plans.bloom import bloom_of
 from quillwork.plans.lineage import cut, cut_table, partitions
 from quillwork.sources.tables import table
 
 THRESHOLD, LEAST_WORDS = 0.8, 30
 #: (intersected orders, keys) of a family.
-RARE_WAY, WHOLE_WAY = (4, 18), (7, 12)
+RARE_WAY, WHOLE_WAY = (4, 16), (7, 12)
 #: Shares of rare tokens from which the orders over rare tokens are used, and below which those over all tokens are.
 RARE_FROM, WHOLE_BELOW = 0.2, 0.9
 COMMON = 0.08
@@ -196,6 +197,17 @@ def keys_of(bags: DataFrame, common: np.ndarray) -> DataFrame:
     return bags.select("record_table", "bag", "size", "low_bits", "high_bits", "tokens").mapInArrow(keys, KEY)
 
 
+def held_by(rows: DataFrame, bags: DataFrame) -> DataFrame:
+    """The rows (bag, tokens) of the given bags and a few others, so that the texts of no candidate are not shuffled."""
+    bloom = rows.sparkSession.sparkContext.broadcast(bloom_of(bags))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(bloom.value.holds(b.column("bag").to_numpy())))
+
+    return rows.mapInArrow(some, "bag long, tokens array<long>")
+
+
 def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, pairs): members record_table, record_id, bag; pairs bag_a, bag_b of similarity THRESHOLD or more between different bags of one table."""
     spark = texts.sparkSession
@@ -210,7 +222,7 @@ def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.bag").alias("bag_a"), F.col("y.bag").alias("bag_b")).distinct()
     with partitions(spark, bags.count() * (RARE_WAY[1] + WHOLE_WAY[1]) // TASK_KEYS):
         candidates = cut(found)
-    tokens = bags.groupBy("bag").agg(F.first("tokens").alias("tokens"))
+    tokens = held_by(bags.select("bag", "tokens"), candidates.select(F.explode(F.array("bag_a", "bag_b")))).groupBy("bag").agg(F.first("tokens").alias("tokens"))
     for side in "ab":
         candidates = candidates.join(tokens.select(F.col("bag").alias(f"bag_{side}"), F.col("tokens").alias(f"tokens_{side}")).hint("merge"), f"bag_{side}")
     shared, total = F.size(F.array_intersect("tokens_a", "tokens_b")), F.size("tokens_a") + F.size("tokens_b")
