@@ -40,7 +40,7 @@ RARE_WAY, WHOLE_WAY = (4, 16), (7, 12)
 RARE_FROM, WHOLE_BELOW = 0.2, 0.9
 COMMON = 0.08
 #: Keys a task of the join shall read.
-TASK_KEYS = 400_000
+TASK_KEYS = 150_000
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 

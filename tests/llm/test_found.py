@@ -1,13 +1,14 @@
 """Every found query on small tables: hand-written cases, nulls, empty and long texts, ties, replays, empty tables, clashing columns."""
 
 import random
+from collections import Counter
 
 import pytest
 
 from quillwork.llm import encoding, format_copies, leakage, lookalike, mixing, near_copies, pair_defects, scan_noise, sentences, split
 
 SCHEMAS = {
-    "source_documents": "id long, source_name string, source string",
+    "source_documents": "id long, source_name string, source string, title string, text string",
     "extracted_document_texts": "id long, source_document_id long, raw_text string, ingest_seq long, text string",
     "document_chunks": "id long, content string, ingest_seq long, pieces string",
     "canonical_verses": "id long, source_document_id long, sanskrit_text string, transliteration string, english_translation string, commentary string, ingest_seq long, form string, bag string",
@@ -39,7 +40,7 @@ def test_empty_tables(spark, tables, name):
 def test_nulls_everywhere(spark, tables, name):
     d = filled(
         tables,
-        source_documents=[(None, None, None)],
+        source_documents=[(None, None, None, None, None)],
         extracted_document_texts=[(1, None, None, None, None)],
         document_chunks=[(1, None, None, None)],
         canonical_verses=[(1, None, None, None, None, None, None, None, None)],
@@ -120,10 +121,19 @@ def near_cases(seed=5):
     return rows
 
 
+def similarity(a, b):
+    """Shared words over all words of two texts, repeats counted."""
+    import regex
+
+    x, y = (Counter(regex.findall(r"[\p{L}\p{N}]+", t.lower())) for t in (a, b))
+    shared = sum((x & y).values())
+    return shared / max(1, sum(x.values()) + sum(y.values()) - shared)
+
+
 def test_near_copies_equal_brute_force(spark, tables):
     rows = near_cases()
     d = filled(tables, training_examples=[(i, None, t, None, None) for i, t in rows], chat_records=[(i, [("user", "q"), ("assistant", t[: len(t) // 2]), ("assistant", t[len(t) // 2 :])], None) for i, t in rows[:8]])
-    want = {("training_examples", i, j) for i, a in rows for j, b in rows if i < j and min(len(a.split()), len(b.split())) >= 30 and near_copies.similarity(a, b) >= 0.8}
+    want = {("training_examples", i, j) for i, a in rows for j, b in rows if i < j and min(len(a.split()), len(b.split())) >= 30 and similarity(a, b) >= 0.8}
     result = got(near_copies.p4_found, spark, d)
     assert {r for r in result if r[0] == "training_examples"} == want and len(result) == len(set(result))
     classes = near_copies.p4_classes(spark, d).collect()
@@ -134,7 +144,7 @@ def test_encoding(spark, tables):
     good = "La bonté apaise le cœur, et l'élève écoute. À bientôt déjà."
     bad = good.encode().decode("cp1252", "replace")
     many = [(i, 1, good, i, None) for i in range(1, 30)]
-    d = filled(tables, source_documents=[(1, "s", None)], extracted_document_texts=[*many, (50, 1, bad, 50, None), (51, 1, "A single clartÃ© here.", 51, None), (52, 1, "São Tâmiel prints Ã for the vowel; 30 £.", 52, None), (53, 1, "lost � sign", 53, None), (54, 1, "", 54, None)])
+    d = filled(tables, source_documents=[(1, "s", None, None, None)], extracted_document_texts=[*many, (50, 1, bad, 50, None), (51, 1, "A single clartÃ© here.", 51, None), (52, 1, "São Tâmiel prints Ã for the vowel; 30 £.", 52, None), (53, 1, "lost � sign", 53, None), (54, 1, "", 54, None)])
     assert [r[1] for r in got(encoding.p5_found, spark, d)] == [50, 51, 53]
     back = {r.record_id: r for r in encoding.p5_restored(spark, d).collect()}
     assert back[51].restored == "A single clarté here." and back[51].complete and not back[53].complete
@@ -276,14 +286,29 @@ def test_scan_noise(spark, tables):
         106: "The patient grandmother keeps\n296 Notes from Eshdun\nthe lantern near the granary.",
         107: "",
     }
-    rows = [(i, None, None, None, t, None, i, None, None) for i, t in enumerate(plain)] + [(i, None, None, None, t, None, i, None, None) for i, t in noisy.items()]
-    found = {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, filled(tables, canonical_verses=rows)).collect()}
+    rows = [(i, None, None, None, t, None, i, None, None) for i, t in enumerate(plain)] + [(i, 5, None, None, t, None, i, None, None) for i, t in noisy.items()]
+    d = filled(tables, canonical_verses=rows, source_documents=[(5, None, None, "Notes from Eshdun", None)])
+    found = {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()}
     assert found == {(101, "broken_word"), (102, "misread"), (103, "running_head"), (104, "page_number"), (106, "running_head"), (106, "page_number")}
-    fixed = {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, filled(tables, canonical_verses=rows)).collect()}
+    fixed = {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()}
     want = "The patient grandmother keeps the lantern near the granary."
     assert all(fixed[i] == want for i in (101, 102, 103, 104, 106)), fixed
 
 
+@pytest.mark.parametrize("head", ["Introduction to Ethics", "A History of Rivers", "MEMOIRS OF A FARMER", "Anatomy"])
+def test_running_heads_by_repetition(spark, tables, head):
+    page = "The patient grandmother keeps the lantern near the granary and\ncounts the morning light before the children"
+    text = "\n".join(f"{page}\n{head} {n}\ncome home. Nothing else was said {w}." for n, w in enumerate(("here", "there", "today", "again", "twice", "at all"), 11))
+    book = [(i, 9, None, None, f"The lantern burns\n{head} {40 + i}\nuntil the morning.", None, i, None, None) for i in range(4)]
+    poem = "The river sings\nCome home\nand the field listens\nCome home\nand the hill answers.\nCome home\nThe night is long."
+    d = filled(tables, extracted_document_texts=[(1, 7, text, 1, None), (2, 8, poem, 2, None), (3, 6, "  ", 3, None)], canonical_verses=book)
+    found = {(r.record_table[0], r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()}
+    assert found == {("e", 1, "running_head"), ("e", 1, "page_number")} | {("c", i, k) for i in range(4) for k in ("running_head", "page_number")}
+    fixed = {(r.record_table[0], r.record_id): r.repaired for r in scan_noise.p1_repaired(spark, d).collect()}
+    assert head not in fixed["e", 1] and "before the children come home. Nothing else was said here." in fixed["e", 1]
+    assert fixed["c", 0] == "The lantern burns until the morning."
+
+
 def verses(tables, plain, noisy):
     rows = [(i, None, None, None, t, None, i, None, None) for i, t in enumerate(plain)] + [(i, None, None, None, t, None, i, None, None) for i, t in noisy.items()]
     return filled(tables, canonical_verses=rows)
