@@ -33,7 +33,7 @@ def tokens(d: Dialect, t: str) -> str:
 
 
 def word_tokens(d: Dialect, t: str) -> str:
-    return d.all(t, r"[\p{L}\p{N}_']+")
+    return d.all(t, r"[\p{L}\p{N}_][\p{L}\p{N}_']*")
 
 
 def letter_tokens(d: Dialect, t: str) -> str:

@@ -34,6 +34,20 @@ def oracle_of(found: dict[str, SqlOf]) -> dict[str, str]:
     return {name: f(DUCK) for name, f in found.items()}
 
 
-def current(d: Dialect, name: str, key: str = "id") -> str:
-    """The rows of a table with replays taken out: the earliest arrival of each key."""
-    return f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ingest_seq) AS arrival FROM {d.table(name)}) r WHERE arrival = 1)"
+#: Content columns of the tables with replayed rows.
+COLUMNS = {
+    "extracted_document_texts": "source_document_id raw_text page_count extraction_status",
+    "document_chunks": "source_document_id chunk_index chapter section_title verse_number content content_type page_reference",
+    "canonical_verses": "source_document_id chapter_number verse_number speaker sanskrit_text transliteration english_translation commentary page_reference is_valid",
+    "wisdom_entries": "source_document_id book_title chapter section verse_number original_text transliteration translation commentary extracted_principle distilled_wisdom emotional_tags philosophical_tags use_cases confidence_score principle_quality_score principle_status",
+}
+
+
+def current(d: Dialect, name: str, where: str = "") -> str:
+    """The rows of a table with replays taken out.
+
+    A replay has the content of its row, so any of them stands for all: an aggregate with map-side combine, of which
+    only the columns in use are read, and a filter may come before it, where it reaches the scan.
+    """
+    kept = ", ".join(f"any_value({c}) AS {c}" for c in COLUMNS[name].split())
+    return f"(SELECT id, {kept} FROM {d.table(name)}{' WHERE ' + where if where else ''} GROUP BY id)"

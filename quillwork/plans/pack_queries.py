@@ -109,105 +109,6 @@ SELECT id, score, {d.join('found', '|')} AS issues, {status_sql(d, 'score', 'fou
 CASE WHEN score >= 85 THEN greatest(85.0, score) WHEN score >= 60 THEN least(84.0, score) ELSE least(59.0, score) END AS confidence FROM judged""".replace("NOT " + d.overlap("found", d.strings([])), "1 = 1")
 
 
-def distilled_quality(d):
-    """Quality of the distilled sentence from a base of 50; a blank one scores 0."""
-    s = "distilled_wisdom"
-    has = f"{s} IS NOT NULL AND trim({s}) <> ''"
-    n = d.size(X.tokens(d, s))
-    rules = [
-        Rule("blank", f"NOT ({has})", -100), Rule("corrupted_text", f"{has} AND {d.rx(s, V.CORRUPTION)}", -40), Rule("narration", f"{has} AND {d.rx(s, V.NARRATION)}", -30), Rule("speaker_only", f"{has} AND {d.rx(s, V.SPEAKER)}", -30),
-        Rule("too_short", f"{has} AND {n} < 8", -25), Rule("too_long", f"{has} AND {n} > 30", -25), Rule("applicable", f"{has} AND {d.rx(s, V.ACTION)}", 20, False), Rule("conflict", f"{has} AND {d.rx(s, V.CONFLICT)}", 15, False), Rule("self_knowledge", f"{has} AND {d.rx(s, V.LESSON)}", 15, False),
-        Rule("has_emotion", f"{has} AND {d.size('emotional_tags')} > 0", 10, False), Rule("practical", f"{has} AND {d.size('use_cases')} > 0", 10, False), Rule("generic", f"{has} AND {d.rx(s, V.GENERIC)}", -20), Rule("missing_tags", f"{has} AND coalesce({d.size('emotional_tags')}, 0) = 0", 0),
-    ]
-    return f"""WITH judged AS (SELECT id, {score_sql(d, rules, 50)} AS score, {issues_sql(d, rules)} AS found FROM {current(d, 'wisdom_entries')} e)
-SELECT id, score, {d.join('found', '|')} AS issues, {status_sql(d, 'score', 'found', ['blank', 'corrupted_text', 'speaker_only'], ['generic', 'narration', 'too_short', 'too_long', 'missing_tags'])} AS status FROM judged"""
-
-
-def quality_review(d):
-    """Review of an entry with what its examples show; each kind counts once."""
-    child = lambda c: f"coalesce(max(CASE WHEN {c} THEN 1 ELSE 0 END), 0)"
-    rules = [
-        Rule("corrupted_text", d.rx("translation", V.CORRUPTION), -40), Rule("short_text", f"coalesce(length({X.clean_text(d, 'original_text')}), 0) < 20", -30), Rule("page_artefact", d.rx("translation", r"(?i)page \d+"), -20), Rule("header_residue", d.rx("translation", V.HEADER), -20),
-        Rule("short_principle", f"coalesce({d.size(X.tokens(d, 'extracted_principle'))}, 0) < 10", -35), Rule("speaker_principle", d.rx("extracted_principle", V.SPEAKER), -40),
-        Rule("repeated_examples", "repeated = 1", -25), Rule("corrupted_examples", "corrupted = 1", -35), Rule("metadata_examples", "meta = 1", -25),
-    ]
-    return f"""WITH ex AS (SELECT wisdom_entry_id AS entry, md5({X.fingerprint(d, A)}) AS k, {d.rx(A, V.CORRUPTION)} AS c, {d.rx('lower(' + A + ')', V.METADATA)} AS m FROM {d.table('training_examples')} WHERE {A} IS NOT NULL),
-rep AS (SELECT k AS rk FROM ex GROUP BY k HAVING count(*) > 6),
-kids AS (SELECT entry, {child('rk IS NOT NULL')} AS repeated, {child('c')} AS corrupted, {child('m')} AS meta, count(*) AS n FROM ex LEFT JOIN rep ON k = rk GROUP BY entry),
-judged AS (SELECT id, coalesce(n, 0) AS n_examples, {score_sql(d, rules)} AS score, {issues_sql(d, rules)} AS found FROM {current(d, 'wisdom_entries')} e LEFT JOIN kids ON id = entry)
-SELECT id, {d.big('n_examples')} AS n_examples, score, {d.join('found', '|')} AS issues, score >= 80 AND NOT {d.overlap('found', d.strings(['corrupted_text', 'corrupted_examples', 'short_text', 'speaker_principle']))} AS valid FROM judged"""
-
-
-def prompt_rules(d: Dialect) -> list[Rule]:
-    n = "n_words"
-    return [
-        Rule("short", f"{n} < 8", -15), Rule("long", f"{n} > 26", -10), Rule("compound", f"contains(low, ' and ') AND {d.size(d.all('low', ','))} >= 2", -8),
-        Rule("repetitive", f"n_distinct < greatest(4, floor({n} / 3))", -8), Rule("themed", d.rx("low", V.CONFLICT), 5, False),
-    ]
-
-
-def prompted(d: Dialect) -> str:
-    distinct = "array_distinct" if d.name == "spark" else "list_distinct"
-    return f"(SELECT id, low, {d.size('w')} AS n_words, {d.size(f'{distinct}(w)')} AS n_distinct FROM (SELECT id, lower(user_problem) AS low, {X.word_tokens(d, 'lower(user_problem)')} AS w FROM {d.table('training_examples')} WHERE user_problem IS NOT NULL) q)"
-
-
-def prompt_score(d):
-    return f"SELECT id, {score_sql(d, prompt_rules(d))} AS score, {d.join(issues_sql(d, prompt_rules(d)), '|')} AS issues FROM {prompted(d)} p"
-
-
-def responded(d: Dialect) -> str:
-    """Measures of each answer that the response scores use."""
-    hits = lambda ph: f"(length(low) - length(replace(low, {d.lit(ph)}, ''))) / {len(ph)}"
-    distinct = "array_distinct" if d.name == "spark" else "list_distinct"
-    keys = d.trans("ss", "v", X.norm_c(d, "v"))
-    stems = d.trans("ss", "v", d.join(d.slice(X.tokens(d, X.norm_c(d, "v")), 1, 6), " "))
-    return f"""(SELECT id, t, low, {d.size(X.word_tokens(d, 't'))} AS n_words, {d.size(d.all('t', ';'))} AS semis, {d.big(' + '.join(f'floor({hits(p)})' for p in V.SCAFFOLD))} AS scaffold,
- {d.size(keys)} > {d.size(f'{distinct}({keys})')} AS same_sentence, {d.size(stems)} > {d.size(f'{distinct}({stems})')} AS same_stem, {' + '.join(f"CASE WHEN contains(low, {d.lit(w)}) THEN 1 ELSE 0 END" for w in V.CONCRETE)} AS concrete
- FROM (SELECT id, {A} AS t, lower({A}) AS low, {X.sentence_list(d, X.clean_text(d, A))} AS ss FROM {d.table('training_examples')} WHERE {A} IS NOT NULL) q)"""
-
-
-def response_rules(d: Dialect) -> tuple[list[Rule], list[Rule], list[Rule]]:
-    """Rules of quality, repetition and actionability."""
-    both = [("too_short", "n_words < 80", -12, 0, 0), ("too_long", "n_words > 150", -12, 0, 0), ("many_semicolons", "semis >= 4", -10, -14, 0), ("semicolons", "semis = 3", -6, -8, 0), ("scaffold_1", "scaffold >= 1", -5, -6, 0), ("scaffold_3", "scaffold >= 3", -10, -12, 0),
-            ("repeated_sentence", "same_sentence", -18, -25, 0), ("repeated_stem", "same_stem", -8, -12, 0), ("listicle", d.rx("t", V.LISTICLE), -18, 0, 0), ("leak", d.any_of("low", V.FORBIDDEN), -25, 0, 0), ("generic", d.rx("t", V.GENERIC), -8, 0, 0),
-            ("no_concrete", "concrete = 0", -10, 0, -18), ("one_concrete", "concrete = 1", 0, 0, -5), ("concrete", "concrete >= 2", 0, 0, 5), ("no_action", f"NOT {d.rx('t', V.ACTION)}", -8, 0, -12), ("medical", d.rx("t", V.MEDICAL), -20, 0, 0), ("unstable", "contains(t, '??')", -20, -25, 0)]
-    return tuple([Rule(n, w, c[i]) for n, w, *c in both] for i in range(3))
-
-
-def response_score(d):
-    q, r, a = response_rules(d)
-    return f"SELECT id, {score_sql(d, q)} AS quality, {score_sql(d, r)} AS repetition, {score_sql(d, a)} AS actionability FROM {responded(d)} m"
-
-
-def final_scored(d: Dialect) -> str:
-    q, r, a = response_rules(d)
-    final = "floor((2 * (p.score + 2 * quality + repetition + actionability) + 5) / 10)"
-    return f"""(SELECT p.id, p.score AS prompt, quality, repetition, actionability, {d.big(final)} AS final_score
-FROM (SELECT id, {score_sql(d, prompt_rules(d))} AS score FROM {prompted(d)} p0) p JOIN (SELECT id, {score_sql(d, q)} AS quality, {score_sql(d, r)} AS repetition, {score_sql(d, a)} AS actionability FROM {responded(d)} m) s ON p.id = s.id)"""
-
-
-def final_score(d):
-    return f"SELECT id, final_score, final_score >= 80 AS kept FROM {final_scored(d)} f"
-
-
-def rubric_score(d):
-    """Six sub-scores of 1 to 5 and their sum."""
-    n = lambda words: d.size(d.filt("w", "x", d.isin("x", words)))
-    clamp = lambda e: f"greatest(1, least(5, {e}))"
-    verbs = ["write", "walk", "name", "ask", "choose", "begin", "take", "keep", "read", "let", "put", "finish", "close"]
-    calm = clamp(f"2 + least(3, {n(V.CALM)}) - CASE WHEN contains(t, '!') THEN 1 ELSE 0 END")
-    clarity = clamp(f"2 + least(3, CAST(floor({n(V.PHILOSOPHY)} / 2) AS BIGINT) + 1) - CASE WHEN {n(V.SCRIPTURE)} > 0 THEN 1 ELSE 0 END")
-    action = clamp(f"CASE WHEN {n(verbs)} = 0 THEN 1 WHEN {n(verbs)} = 1 THEN 3 WHEN {n(verbs)} = 2 THEN 4 ELSE 5 END + CASE WHEN {d.rx('t', V.TIME_PHRASE)} THEN 1 ELSE 0 END")
-    humble = clamp(f"CASE WHEN {d.rx('t', V.PREACHY)} THEN 1 WHEN {n(V.SCRIPTURE)} > 0 THEN 3 ELSE 5 END")
-    empathy = clamp(f"2 + CASE WHEN {d.rx('t', V.EMPATHY)} THEN 2 ELSE 0 END + CASE WHEN {n(V.FEELING)} > 0 THEN 1 ELSE 0 END")
-    g = X.trigram_repetition(d, "w")
-    semis = d.size(d.all("t", ";"))
-    repetition = clamp(f"5 - CASE WHEN {g} >= 2 THEN 1 ELSE 0 END - CASE WHEN {g} >= 4 THEN 1 ELSE 0 END - CASE WHEN {semis} >= 1 THEN 1 ELSE 0 END - CASE WHEN {semis} >= 3 THEN 1 ELSE 0 END")
-    parts = {"calm": calm, "clarity": clarity, "action": action, "humility": humble, "empathy": empathy, "repetition": repetition}
-    inner = ", ".join(f"{d.big(e)} AS {k}" for k, e in parts.items())
-    return f"SELECT id, {', '.join(parts)}, {' + '.join(parts)} AS total FROM (SELECT id, {inner} FROM (SELECT id, {A} AS t, {X.letter_tokens(d, A)} AS w FROM {d.table('training_examples')} WHERE {A} IS NOT NULL) q) r"
-
-
 def verse_valid(d: Dialect, t: str) -> str:
     return f"length({X.clean_text(d, t)}) >= 20 AND NOT {d.rx(t, V.CORRUPTION)} AND NOT {d.rx(t, V.HEADER)}"
 
@@ -248,4 +149,4 @@ def entry_corruption(d):
     return f"SELECT id, {d.rx(entry_text(d), V.CORRUPTION)} AS corrupted FROM {current(d, 'wisdom_entries')} e"
 
 
-QUERIES = {f.__name__: f for f in (corpus_audit, corpus_stats, corpus_stats_b, pair_audit, principle_quality, distilled_quality, quality_review, prompt_score, response_score, final_score, rubric_score, verse_validity, passage_validity, usable_units, response_valid, suspicious_text, entry_corruption)}
+QUERIES = {f.__name__: f for f in (corpus_audit, corpus_stats, corpus_stats_b, pair_audit, principle_quality, verse_validity, passage_validity, usable_units, response_valid, suspicious_text, entry_corruption)}

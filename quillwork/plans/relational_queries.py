@@ -6,13 +6,13 @@ from quillwork.functions import text as X
 from quillwork.functions import vocab as V
 from quillwork.plans.base import current
 from quillwork.plans.dialect import Dialect
-from quillwork.plans.pack_queries import A, final_scored
+from quillwork.plans.pack_queries import A
 
 ENTRIES, EXAMPLES = "wisdom_entries", "training_examples"
 
 
-def entries(d: Dialect) -> str:
-    return f"{current(d, ENTRIES)} e"
+def entries(d: Dialect, where: str = "") -> str:
+    return f"{current(d, ENTRIES, where)} e"
 
 
 def source_of(d: Dialect) -> str:
@@ -24,23 +24,24 @@ def doc_lookup(d):
 
 
 def gate_entries(d):
-    return f"SELECT id, confidence_score FROM {entries(d)} WHERE principle_status = 'approved' AND confidence_score >= 80"
+    return f"SELECT id, confidence_score FROM {entries(d, "principle_status = 'approved' AND confidence_score >= 80")}"
 
 
 def gate_source_pool(d):
-    return f"SELECT id, book_title FROM {entries(d)} WHERE distilled_wisdom IS NOT NULL AND trim(distilled_wisdom) <> '' AND principle_quality_score >= 70 AND {d.rx('book_title', '(?i)(river|garden|from|verses)')}"
+    gate = f"distilled_wisdom IS NOT NULL AND trim(distilled_wisdom) <> '' AND principle_quality_score >= 70 AND {d.rx('book_title', '(?i)(river|garden|from|verses)')}"
+    return f"SELECT id, book_title FROM {entries(d, gate)}"
 
 
 def tag_search(d):
     all_tags = d.cat(d.cat(f"coalesce(emotional_tags, {d.array([])})", f"coalesce(philosophical_tags, {d.array([])})"), f"coalesce(use_cases, {d.array([])})")
-    return f"SELECT id FROM {entries(d)} WHERE {d.exists(all_tags, 'g', 'contains(lower(g), ' + d.lit('con') + ')')}"
+    return f"SELECT id FROM {entries(d, d.exists(all_tags, 'g', 'contains(lower(g), ' + d.lit('con') + ')'))}"
 
 
 def tag_buckets(d):
     em = lambda tags: d.overlap(f"coalesce(emotional_tags, {d.array([])})", d.strings(tags))
     ph = lambda tags: d.overlap(f"coalesce(philosophical_tags, {d.array([])})", d.strings(tags))
     buckets = {"anger_and_duty": f"{em(['anger', 'frustration'])} AND {ph(['duty', 'discipline'])}", "grief": em(["grief", "sorrow", "loss"]), "detachment": ph(["detachment", "renunciation"])}
-    return " UNION ALL ".join(f"SELECT {d.lit(k)} AS bucket, id FROM {entries(d)} WHERE {c}" for k, c in buckets.items())
+    return " UNION ALL ".join(f"SELECT {d.lit(k)} AS bucket, id FROM {entries(d, c)}" for k, c in buckets.items())
 
 
 def example_eligibility(d):
@@ -152,10 +153,6 @@ def lowest_scores(d):
     return f"SELECT id, confidence_score FROM {entries(d)} ORDER BY coalesce(confidence_score, 9999.0), id LIMIT 10"
 
 
-def top_kept(d):
-    return f"SELECT id, final_score FROM {final_scored(d)} f WHERE final_score >= 80 ORDER BY final_score DESC, id LIMIT 20"
-
-
 def sample_k(d):
     return f"SELECT id, md5(concat(CAST(id AS {'STRING' if d.name == 'spark' else 'VARCHAR'}), '42')) AS k FROM {d.table(EXAMPLES)} ORDER BY k, id LIMIT 30"
 
@@ -175,36 +172,6 @@ def dedup_exact(d):
     return f"SELECT min(id) AS id, count(*) AS n_copies FROM {d.table(EXAMPLES)} GROUP BY md5(concat(coalesce(user_problem, ''), chr(1), coalesce({A}, '')))"
 
 
-def ranked(d: Dialect) -> str:
-    return f"""SELECT f.id AS id, final_score, repetition, actionability, md5({X.norm_c(d, 'user_problem')}) AS exact_key, md5({X.near_key(d, 'user_problem')}) AS near_key, md5({X.norm_c(d, A)}) AS answer_key
-FROM {final_scored(d)} f JOIN {d.table(EXAMPLES)} x ON f.id = x.id"""
-
-
-ORDER = "final_score DESC, repetition DESC, actionability DESC, id"
-
-
-def dedup_rank(d):
-    return f"""WITH r AS ({ranked(d)}), w AS (SELECT id, final_score, row_number() OVER (PARTITION BY exact_key ORDER BY {ORDER}) AS place, count(*) OVER (PARTITION BY exact_key) AS n FROM r)
-SELECT id, {d.big('place')} AS place, {d.big('n')} AS n_group, place = 1 AND final_score >= 80 AS kept FROM w WHERE n > 1"""
-
-
-def two_phase(d: Dialect) -> str:
-    """Exact groups first; rows without an equal go on to near groups; single rows stay from a score of 80."""
-    return f"""r AS ({ranked(d)}), p1 AS (SELECT *, row_number() OVER (PARTITION BY exact_key ORDER BY {ORDER}) AS place, count(*) OVER (PARTITION BY exact_key) AS n FROM r),
-p2 AS (SELECT id, final_score, row_number() OVER (PARTITION BY near_key ORDER BY {ORDER}) AS place, count(*) OVER (PARTITION BY near_key) AS n FROM p1 WHERE n = 1),
-decided AS (SELECT id, final_score, 'exact' AS phase, place, n FROM p1 WHERE n > 1 UNION ALL SELECT id, final_score, CASE WHEN n > 1 THEN 'near' ELSE 'single' END AS phase, place, n FROM p2),
-verdicts AS (SELECT id, final_score, phase, CASE WHEN place > 1 THEN concat('duplicate_', phase) WHEN final_score < 80 THEN 'below_final_score_threshold' ELSE 'kept' END AS verdict FROM decided)"""
-
-
-def dedup_two_phase(d):
-    return f"WITH {two_phase(d)} SELECT id, phase, verdict FROM verdicts"
-
-
-def uniqueness_sweep(d):
-    return f"""WITH r AS ({ranked(d)}), a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY answer_key ORDER BY final_score DESC, id) AS pa FROM r) q WHERE pa = 1),
-b AS (SELECT id, final_score, row_number() OVER (PARTITION BY exact_key ORDER BY final_score DESC, id) AS pb FROM a) SELECT id, final_score FROM b WHERE pb = 1"""
-
-
 def best_per_key(d):
     """The best entry of each distilled sentence by (tags, quality, confidence), ties to the first."""
     n_tags = f"coalesce({d.size('emotional_tags')}, 0) + coalesce({d.size('philosophical_tags')}, 0)"
@@ -227,10 +194,4 @@ def removed_records(d):
 SELECT m.origin AS origin, m.ordinal AS ordinal FROM m LEFT ANTI JOIN (SELECT * FROM k WHERE place = 1) w ON m.origin = w.origin AND m.ordinal = w.ordinal""".replace("LEFT ANTI JOIN", "LEFT ANTI JOIN" if d.name == "spark" else "ANTI JOIN")
 
 
-def cleanup_report(d):
-    return f"""WITH {two_phase(d)} SELECT 'verdict' AS section, verdict AS item, count(*) AS n FROM verdicts GROUP BY verdict
-UNION ALL SELECT 'phase', phase, count(*) FROM verdicts GROUP BY phase
-UNION ALL SELECT 'score_band', CASE WHEN final_score >= 90 THEN '90' WHEN final_score >= 80 THEN '80' WHEN final_score >= 60 THEN '60' ELSE '0' END, count(*) FROM verdicts GROUP BY 2"""
-
-
-QUERIES = {f.__name__: f for f in (doc_lookup, gate_entries, gate_source_pool, tag_search, tag_buckets, example_eligibility, export_gate, approval_gate, join_examples_entries, anti_existing, semi_reviewed, left_attach, review_upsert, count_by_source, per_source_counts, quality_report, status_histogram, source_status_pivot, issue_counts, tag_distribution, top_openings, dup_fingerprint_groups, excess_duplicates, duplicate_group_counts, avg_length, phrase_doc_freq, model_compare, page_entries, lowest_scores, top_kept, sample_k, latest_source, topk_per_source, dedup_exact, dedup_rank, dedup_two_phase, uniqueness_sweep, best_per_key, merge_union, removed_records, cleanup_report)}
+QUERIES = {f.__name__: f for f in (doc_lookup, gate_entries, gate_source_pool, tag_search, tag_buckets, example_eligibility, export_gate, approval_gate, join_examples_entries, anti_existing, semi_reviewed, left_attach, review_upsert, count_by_source, per_source_counts, quality_report, status_histogram, source_status_pivot, issue_counts, tag_distribution, top_openings, dup_fingerprint_groups, excess_duplicates, duplicate_group_counts, avg_length, phrase_doc_freq, model_compare, page_entries, lowest_scores, sample_k, latest_source, topk_per_source, dedup_exact, best_per_key, merge_union, removed_records)}
