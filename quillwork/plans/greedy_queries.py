@@ -14,7 +14,6 @@ from quillwork.plans.base import run_sql
 from quillwork.plans.document_queries import rewrite_pool as pool_sql
 from quillwork.plans.scalar_queries import entry_text
 from quillwork.sources.tables import first_arrival, table
-from quillwork.streaming.audit import stream_audit_available_now
 
 OPENINGS = ["Start small.", "Look once more.", "Stay with it.", "Wait a breath.", "Ask plainly.", "Put it down."]
 MIDDLES = ["Name what you fear.", "Write one line about it.", "Do the next small task.", "Leave one thing unsaid.", "Walk to the end of the road.", "Let the other speak first.", "Keep one promise today."]
@@ -70,5 +69,4 @@ QUERIES = {
     "generate_examples_c": _generated(3, 3, 24, 5, False),
     "capped_assignment": capped_assignment,
     "rewrite_accept": rewrite_accept,
-    "stream_audit_available_now": stream_audit_available_now,
 }

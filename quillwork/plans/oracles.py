@@ -155,7 +155,64 @@ h AS (SELECT id, score, issues, CASE WHEN blank OR bad OR told OR speaker OR rit
 SELECT *, CASE status WHEN 'approved' THEN greatest(85.0, score) WHEN 'needs_review' THEN least(84.0, greatest(60.0, score)) ELSE least(59.0, score) END::DOUBLE AS confidence FROM h
 """
 
+
+CORPUS_AUDIT = r"""
+WITH q AS (SELECT id, assistant_response AS t, trim(regexp_replace(regexp_replace(regexp_replace(lower(assistant_response), '\b(the bhagavad gita|chapter\s+\d+|page\s+\d+|\d+\.\d+)\b', ' ', 'g'), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm,
+  list_filter(regexp_split_to_array(assistant_response, '\s+'), lambda w: w <> '') AS w FROM training_examples WHERE assistant_response IS NOT NULL),
+s AS (SELECT id, trim(regexp_replace(regexp_replace(regexp_replace(lower(v), '\b(the bhagavad gita|chapter\s+\d+|page\s+\d+|\d+\.\d+)\b', ' ', 'g'), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS pattern
+  FROM (SELECT id, unnest(string_split(regexp_replace(t, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) AS v FROM q) z),
+often AS (SELECT DISTINCT id FROM (SELECT id, count(*) OVER (PARTITION BY pattern) AS n FROM s WHERE len(string_split(pattern, ' ')) >= 6) z WHERE n > 15),
+k AS (SELECT id, t, len(w) AS n, count(*) OVER (PARTITION BY lower(rtrim(array_to_string(w[1:12], ' '), '.,;:!?'))) AS n_opening, count(*) OVER (PARTITION BY norm) AS n_same, CASE WHEN norm <> '' THEN count(*) OVER (PARTITION BY array_to_string(string_split(norm, ' ')[1:40], ' ')) ELSE 0 END AS n_print FROM q),
+f AS (SELECT k.id, n_opening > 5 AS i1, n_same > 1 AS i2, n_same = 1 AND n_print > 2 AS i3, often.id IS NOT NULL AS i4, regexp_matches(t, '[{}@ïÌœ]|H¥|�|jkhh|vijkhh|iijkhh|viiijkhh') AS i5,
+  regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(the bhagavad gita|chapter\s+\d+|page\s+\d+|\d+\.\d+)($|[^\p{L}\p{N}_])') AS i6, n < 60 AS i7, n > 180 AS i8,
+  regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(stop medication|ignore your doctor|do not seek help|you do not need help|cure depression|cure anxiety|replace therapy)($|[^\p{L}\p{N}_])') AS i9,
+  regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(only god can save|must worship|blindly obey|surrender completely to god|your suffering is punishment)($|[^\p{L}\p{N}_])') AS i10,
+  regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(the central lesson is|my bow|gandeeva|arjuna|krishna said|sanjaya)($|[^\p{L}\p{N}_])') AS i11,
+  NOT regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(begin|notice|choose|act|return|pause|write|breathe|practice|take|start|speak|rest)($|[^\p{L}\p{N}_])') AS i12 FROM k LEFT JOIN often ON k.id = often.id),
+g AS (SELECT *, greatest(0, 100 - 18 * i1::INT - 35 * i2::INT - 18 * i3::INT - 15 * i4::INT - 40 * i5::INT - 30 * i6::INT - 20 * i7::INT - 15 * i8::INT - 45 * i9::INT - 25 * i10::INT - 40 * i11::INT - 20 * i12::INT)::DOUBLE AS score FROM f)
+SELECT id, score, concat_ws('|', CASE WHEN i1 THEN 'repeated_opening_phrase' END, CASE WHEN i2 THEN 'duplicate_response' END, CASE WHEN i3 THEN 'near_duplicate_response' END, CASE WHEN i4 THEN 'repeated_sentence_pattern' END, CASE WHEN i5 THEN 'corrupted_characters' END,
+  CASE WHEN i6 THEN 'source_metadata_leakage' END, CASE WHEN i7 THEN 'response_too_short' END, CASE WHEN i8 THEN 'response_too_long' END, CASE WHEN i9 THEN 'unsafe_mental_health_advice' END, CASE WHEN i10 THEN 'overly_preachy_tone' END, CASE WHEN i11 THEN 'scripture_narration_leakage' END,
+  CASE WHEN i12 THEN 'missing_practical_action' END) AS issues,
+  CASE WHEN score < 60 OR i2 OR i5 OR i9 OR i11 THEN 'rejected' WHEN score >= 85 AND NOT (i1 OR i3 OR i4 OR i6) THEN 'approved' ELSE 'needs_review' END AS status FROM g
+"""
+
+PAIR_AUDIT = r"""
+WITH q AS (SELECT id, assistant_response AS t, trim(regexp_replace(regexp_replace(lower(assistant_response), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS norm, trim(regexp_replace(regexp_replace(lower(user_problem), '[^a-z0-9\s]', ' ', 'g'), '\s+', ' ', 'g')) AS asked,
+  list_filter(regexp_split_to_array(assistant_response, '\s+'), lambda w: w <> '') AS w FROM training_examples WHERE assistant_response IS NOT NULL AND user_problem IS NOT NULL),
+k AS (SELECT id, t, len(w) AS n, count(*) OVER (PARTITION BY norm) AS n_same, CASE WHEN norm <> '' THEN count(*) OVER (PARTITION BY array_to_string(string_split(norm, ' ')[1:45], ' ')) ELSE 0 END AS n_print, count(*) OVER (PARTITION BY asked) AS n_asked,
+  count(*) OVER (PARTITION BY lower(rtrim(array_to_string(w[1:10], ' '), '.,;:!?'))) AS n_opening FROM q),
+f AS (SELECT id, n < 80 AS i1, n > 170 AS i2, regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(kena|katha|mundaka|upanishad|chapter|passage|verse|these gods|taking hold of the bow|brahman said)($|[^\p{L}\p{N}_])') AS i3, regexp_matches(t, '[{}@ïÌœ]|H¥|�|jkhh|vijkhh|iijkhh|viiijkhh') AS i4,
+  n_same > 1 AS i5, n_same = 1 AND n_print > 1 AS i6, n_asked > 1 AS i7, n_opening > 2 AS i8, NOT regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(write|choose|pause|return|take|name|set|practice|notice|pick|ask|breathe|complete|spend)($|[^\p{L}\p{N}_])') AS i9,
+  regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(only god can save|must worship|blindly obey|your suffering is punishment|submit completely)($|[^\p{L}\p{N}_])') AS i10, regexp_matches(t, '(^|\n)\s*(\d+\.|- )') AS i11,
+  regexp_matches(t, '(?i)(^|[^\p{L}\p{N}_])(cure anxiety|cure depression|replace therapy|you do not need therapy|stop medication|ignore your doctor)($|[^\p{L}\p{N}_])') AS i12, contains(t, '!') AS i13 FROM k),
+g AS (SELECT *, greatest(0, 100 - 20 * i1::INT - 15 * i2::INT - 40 * i3::INT - 40 * i4::INT - 40 * i5::INT - 20 * i6::INT - 12 * i7::INT - 18 * i8::INT - 20 * i9::INT - 25 * i10::INT - 20 * i11::INT - 45 * i12::INT - 8 * i13::INT)::DOUBLE AS score FROM f)
+SELECT id, score, concat_ws('|', CASE WHEN i1 THEN 'response_too_short' END, CASE WHEN i2 THEN 'response_too_long' END, CASE WHEN i3 THEN 'scripture_metadata_leakage' END, CASE WHEN i4 THEN 'corrupted_characters' END, CASE WHEN i5 THEN 'duplicate_response' END, CASE WHEN i6 THEN 'near_duplicate_response' END,
+  CASE WHEN i7 THEN 'duplicate_user_problem' END, CASE WHEN i8 THEN 'repeated_opening_phrase' END, CASE WHEN i9 THEN 'missing_practical_action' END, CASE WHEN i10 THEN 'preachy_tone' END, CASE WHEN i11 THEN 'listicle_format' END, CASE WHEN i12 THEN 'medical_or_therapy_claim' END, CASE WHEN i13 THEN 'tone_too_emphatic' END) AS issues,
+  CASE WHEN score < 60 OR i3 OR i4 OR i5 OR i12 THEN 'rejected' WHEN score >= 85 AND NOT (i1 OR i2 OR i6 OR i7 OR i8 OR i9 OR i10 OR i11 OR i13) THEN 'approved' ELSE 'needs_review' END AS status FROM g
+"""
+
+PRINCIPLE_QUALITY = r"""
+WITH e AS (SELECT DISTINCT id, coalesce(trim(regexp_replace(extracted_principle, '\s+', ' ', 'g')), '') AS p, translation, commentary FROM wisdom_entries),
+m AS (SELECT *, ' ' || regexp_replace(lower(p), '[^\p{L}\p{N}_]', ' . ', 'g') || ' ' AS x FROM e),
+f AS (SELECT id, p = '' AS i1, p <> '' AND len(string_split(p, ' ')) < 10 AS i2, regexp_matches(lower(p), '^(o king|o partha|arjuna said|sanjaya said|krishna said)($|[^\p{L}\p{N}_])') AS i3, regexp_matches(p, '[{}@ïÌœ]|H¥|�|jkhh|vijkhh|iijkhh|viiijkhh') AS i4,
+  regexp_matches(lower(p), 'chapter\s+\d+|page\s+\d+|the bhagavad gita|introduction\s+\d+') AS i5, regexp_matches(lower(p), '^(pause, observe your inner state|listen to some more|i am the|now i will|thus, i heard)($|[^\p{L}\p{N}_])') AS i6,
+  p <> '' AND len(regexp_extract_all(x, ' (said|asked|look   \.   at|look \. at|sounded|heard|saw|narrated|replied|rushed) ')) >= 2 AS told, p <> '' AND NOT regexp_matches(lower(p), '(^|[^\p{L}\p{N}_])(should|must|let go|perform|surrender|focus|control|discipline|duty|detachment|wisdom|fear|desire|clarity|devotion|self-control|action)($|[^\p{L}\p{N}_])') AS i8,
+  p <> '' AND NOT regexp_matches(lower(p), '(^|[^\p{L}\p{N}_])(inner|mind|fear|desire|attachment|anger|confusion|discipline|devotion|self-control|duty|detachment|clarity|wisdom|surrender)($|[^\p{L}\p{N}_])') AS i9,
+  coalesce(regexp_matches(translation, '[{}@ïÌœ]|H¥|�|jkhh|vijkhh|iijkhh|viiijkhh'), false) AS i10, coalesce(regexp_matches(commentary, '[{}@ïÌœ]|H¥|�|jkhh|vijkhh|iijkhh|viiijkhh'), false) AS i11 FROM m),
+g AS (SELECT *, told AND i8 AS i7, greatest(0, 100 - 60 * i1::INT - 35 * i2::INT - 35 * i3::INT - 40 * i4::INT - 30 * i5::INT - 30 * i6::INT - 25 * (told AND i8)::INT - 10 * i8::INT - 10 * i9::INT - 20 * i10::INT - 20 * i11::INT)::DOUBLE AS score FROM f)
+SELECT id, score, concat_ws('|', CASE WHEN i1 THEN 'missing_principle' END, CASE WHEN i2 THEN 'principle_too_short' END, CASE WHEN i3 THEN 'speaker_text_opening' END, CASE WHEN i4 THEN 'corrupted_characters' END, CASE WHEN i5 THEN 'header_footer_artifact' END, CASE WHEN i6 THEN 'too_generic' END,
+  CASE WHEN i7 THEN 'mostly_narration' END, CASE WHEN i8 THEN 'weak_lesson_signal' END, CASE WHEN i9 THEN 'weak_inner_conflict_signal' END, CASE WHEN i10 THEN 'translation_corruption' END, CASE WHEN i11 THEN 'commentary_corruption' END) AS issues,
+  CASE WHEN score < 60 OR i1 OR i4 OR i5 THEN 'rejected' WHEN score >= 85 THEN 'approved' ELSE 'needs_review' END AS status, CASE WHEN score >= 85 THEN score WHEN score >= 60 THEN least(84.0, score) ELSE least(59.0, score) END::DOUBLE AS confidence FROM g
+"""
+
+APPROVAL = "SELECT x.id FROM training_examples x WHERE x.dataset_status = 'approved' AND x.dataset_quality_score >= 85 AND len(x.dataset_audit_issues) = 0 AND x.wisdom_entry_id IN (SELECT id FROM wisdom_entries WHERE principle_status = 'approved')"
+
 SQL = {
+    "stream_approval_available_now": APPROVAL,
+    "corpus_audit": CORPUS_AUDIT,
+    "pair_audit": PAIR_AUDIT,
+    "principle_quality": PRINCIPLE_QUALITY,
+    "stream_audit_available_now": CORPUS_AUDIT,
     "prompt_score": PROMPT_SCORE,
     "response_score": RESPONSE_SCORE,
     "final_score": FINAL_SCORE,

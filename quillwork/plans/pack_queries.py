@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from quillwork.functions import text as X
 from quillwork.functions import vocab as V
-from quillwork.operators.rules import Rule, issues_sql, score_sql, status_sql
 from quillwork.plans.base import current
 from quillwork.plans.dialect import Dialect
 from quillwork.plans.scalar_queries import entry_text
@@ -16,52 +15,16 @@ from quillwork.plans.scalar_queries import entry_text
 A = "assistant_response"
 
 
-#: A key is hot above this many rows: openings, normalised answers, fingerprints, sentences.
-HOT = {"o": 5, "n": 1, "p": 2, "s": 15}
-
-
 def audited(d: Dialect) -> str:
-    """CTEs of the corpus audit. All keys of an answer go through one count; the hot ones come back as flags of the row.
-
-    Texts never take part in a shuffle: first only keys are counted, then only ids that hold a hot key are joined.
-    """
+    """CTEs of the corpus counts: all keys of an answer go through one count."""
     patterns = d.trans(d.filt(d.trans(d.sentences(A), "v", X.norm_a(d, "v")), "v", f"{d.size(X.tokens(d, 'v'))} >= 6"), "v", "concat('s', md5(v))")
     first_words = d.join(d.slice(X.tokens(d, "norm"), 1, 40), " ")
     single = d.compact(["CASE WHEN opening <> '' THEN concat('o', md5(opening)) END", "concat('n', md5(norm))", f"CASE WHEN norm <> '' THEN concat('p', md5({first_words})) END"])
-    limit = "CASE substr(k, 1, 1) " + " ".join(f"WHEN '{kind}' THEN {n}" for kind, n in HOT.items()) + " END"
-    flag = lambda kind: f"max(CASE WHEN substr(k, 1, 1) = '{kind}' THEN 1 END)"
     return f"""
 answers AS (SELECT id, {A} FROM {d.table('training_examples')} WHERE {A} IS NOT NULL),
 forms AS (SELECT id, {A}, {X.norm_a(d, A)} AS norm, {X.opening(d, A)} AS opening FROM answers),
 keys AS (SELECT id, {d.explode(d.cat(single, patterns))} AS k FROM forms),
-counted AS (SELECT k, count(*) AS n FROM keys GROUP BY k),
-hot AS (SELECT k AS hot_key FROM counted WHERE n > {limit}),
-flags AS (SELECT id AS flag_id, {flag('o')} AS n_opening, {flag('n')} AS n_norm, {flag('p')} AS n_print, {flag('s')} AS often_id FROM keys JOIN hot ON k = hot_key GROUP BY id),
-keyed AS (SELECT id, {A} AS t, {d.size(X.tokens(d, A))} AS n_words, n_opening, n_norm, n_print, often_id FROM answers LEFT JOIN flags ON id = flag_id)"""
-
-
-def audit_rules(d: Dialect) -> list[Rule]:
-    return [
-        Rule("repeated_opening", "n_opening IS NOT NULL", -18),
-        Rule("duplicate_response", "n_norm IS NOT NULL", -35),
-        Rule("near_duplicate_response", "n_norm IS NULL AND n_print IS NOT NULL", -18),
-        Rule("repeated_sentence", "often_id IS NOT NULL", -15),
-        Rule("corrupted_text", d.rx("t", V.CORRUPTION), -40),
-        Rule("metadata", d.rx("lower(t)", V.METADATA), -30),
-        Rule("too_short", "n_words < 60", -20),
-        Rule("too_long", "n_words > 180", -15),
-        Rule("unsafe_advice", d.rx("t", V.UNSAFE), -45),
-        Rule("preachy", d.rx("t", V.PREACHY), -25),
-        Rule("narration", d.rx("t", V.SPEAKER), -40),
-        Rule("no_action", f"NOT {d.rx('t', V.ACTION)}", -20),
-    ]
-
-
-def corpus_audit(d):
-    """The flagship: score, issues and class of every answer against the whole corpus."""
-    rules = audit_rules(d)
-    return f"""WITH {audited(d)}, judged AS (SELECT id, {score_sql(d, rules)} AS score, {issues_sql(d, rules)} AS found FROM keyed)
-SELECT id, score, {d.join('found', '|')} AS issues, {status_sql(d, 'score', 'found', ['duplicate_response', 'corrupted_text', 'unsafe_advice', 'narration'], ['repeated_opening', 'near_duplicate_response', 'repeated_sentence', 'metadata'])} AS status FROM judged"""
+counted AS (SELECT k, count(*) AS n FROM keys GROUP BY k)"""
 
 
 def corpus_stats(d):
@@ -77,38 +40,6 @@ UNION ALL SELECT 'opening', md5({X.opening(d, A, 10)}), count(*) FROM {d.table('
 UNION ALL SELECT 'fingerprint', md5({X.fingerprint(d, A, 45, X.norm_b)}), count(*) FROM {d.table('training_examples')} WHERE {A} IS NOT NULL GROUP BY md5({X.fingerprint(d, A, 45, X.norm_b)})"""
 
 
-def pair_audit(d):
-    """The audit of prompt and answer pairs: counts of prompts too, and stricter status."""
-    low = f"lower({A})"
-    rules = [
-        Rule("too_short", "n_words < 80", -20), Rule("too_long", "n_words > 170", -15), Rule("forbidden_phrase", d.any_of("low", V.FORBIDDEN), -40), Rule("corrupted_text", d.rx("t", V.CORRUPTION), -40),
-        Rule("duplicate_response", "n_r IS NOT NULL", -40), Rule("near_duplicate", "n_r IS NULL AND n_f IS NOT NULL", -20), Rule("duplicate_prompt", "n_p IS NOT NULL", -12), Rule("repeated_opening", "n_o IS NOT NULL", -18),
-        Rule("no_action", f"NOT {d.rx('t', V.ACTION)}", -20), Rule("preachy", d.rx("t", V.PREACHY), -25), Rule("listicle", d.rx("t", V.LISTICLE), -20), Rule("medical", d.rx("t", V.MEDICAL), -45), Rule("exclamation", "contains(t, '!')", -8),
-    ]
-    return f"""WITH base AS (SELECT id, {A} AS t, {low} AS low, {d.size(X.tokens(d, A))} AS n_words, md5({X.norm_b(d, A)}) AS r, md5({X.fingerprint(d, A, 45, X.norm_b)}) AS f, md5({X.norm_b(d, 'user_problem')}) AS p, {X.opening(d, A, 10)} AS o
-  FROM {d.table('training_examples')} WHERE {A} IS NOT NULL AND user_problem IS NOT NULL),
-cr AS (SELECT r AS k_r, count(*) AS n_r FROM base GROUP BY r HAVING count(*) > 1), cf AS (SELECT f AS k_f, count(*) AS n_f FROM base GROUP BY f HAVING count(*) > 1),
-cp AS (SELECT p AS k_p, count(*) AS n_p FROM base GROUP BY p HAVING count(*) > 1), co AS (SELECT o AS k_o, count(*) AS n_o FROM base GROUP BY o HAVING count(*) > 2),
-keyed AS (SELECT base.*, n_r, n_f, n_p, n_o FROM base LEFT JOIN cr ON r = k_r LEFT JOIN cf ON f = k_f LEFT JOIN cp ON p = k_p LEFT JOIN co ON o = k_o),
-judged AS (SELECT id, {score_sql(d, rules)} AS score, {issues_sql(d, rules)} AS found FROM keyed)
-SELECT id, score, {d.join('found', '|')} AS issues, {status_sql(d, 'score', 'found', ['forbidden_phrase', 'corrupted_text', 'duplicate_response', 'medical'], None)} AS status FROM judged"""
-
-
-def principle_quality(d):
-    """Quality of the extracted principle; a missing one ends the test."""
-    p = "extracted_principle"
-    has = f"{p} IS NOT NULL AND trim({p}) <> ''"
-    narr, lesson = d.size(d.all(p, V.NARRATION)), d.size(d.all(p, V.LESSON))
-    rules = [
-        Rule("missing_principle", f"NOT ({has})", -60), Rule("too_short", f"{has} AND {d.size(X.tokens(d, p))} < 10", -35), Rule("speaker_opening", f"{has} AND {d.rx(p, V.SPEAKER)}", -35), Rule("corrupted_text", f"{has} AND {d.rx(p, V.CORRUPTION)}", -40),
-        Rule("header_residue", f"{has} AND {d.rx(p, V.HEADER)}", -30), Rule("generic", f"{has} AND {d.rx(p, V.GENERIC)}", -30), Rule("mostly_narration", f"{has} AND {narr} >= 2 AND {lesson} = 0", -25), Rule("weak_lesson", f"{has} AND {lesson} = 0", -10),
-        Rule("weak_conflict", f"{has} AND NOT {d.rx(p, V.CONFLICT)}", -10), Rule("corrupted_translation", f"{has} AND {d.rx('translation', V.CORRUPTION)}", -20), Rule("corrupted_commentary", f"{has} AND {d.rx('commentary', V.CORRUPTION)}", -20),
-    ]
-    return f"""WITH judged AS (SELECT id, {score_sql(d, rules)} AS score, {issues_sql(d, rules)} AS found FROM {current(d, 'wisdom_entries')} e)
-SELECT id, score, {d.join('found', '|')} AS issues, {status_sql(d, 'score', 'found', ['missing_principle', 'corrupted_text', 'header_residue'], [])} AS status,
-CASE WHEN score >= 85 THEN greatest(85.0, score) WHEN score >= 60 THEN least(84.0, score) ELSE least(59.0, score) END AS confidence FROM judged""".replace("NOT " + d.overlap("found", d.strings([])), "1 = 1")
-
-
 def verse_valid(d: Dialect, t: str) -> str:
     return f"length({X.clean_text(d, t)}) >= 20 AND NOT {d.rx(t, V.CORRUPTION)} AND NOT {d.rx(t, V.HEADER)}"
 
@@ -149,4 +80,4 @@ def entry_corruption(d):
     return f"SELECT id, {d.rx(entry_text(d), V.CORRUPTION)} AS corrupted FROM {current(d, 'wisdom_entries')} e"
 
 
-QUERIES = {f.__name__: f for f in (corpus_audit, corpus_stats, corpus_stats_b, pair_audit, principle_quality, verse_validity, passage_validity, usable_units, response_valid, suspicious_text, entry_corruption)}
+QUERIES = {f.__name__: f for f in (corpus_stats, corpus_stats_b, verse_validity, passage_validity, usable_units, response_valid, suspicious_text, entry_corruption)}
