@@ -35,9 +35,9 @@ def _first(t: str, n: int) -> str:
 
 def facts(answers: DataFrame) -> DataFrame:
     """What the audit needs of id and assistant_response: measures, flags and keys."""
-    rows = answers.where(f"{A} IS NOT NULL").selectExpr("id", f"{A} AS t", f"{normal(A)} AS norm")
+    rows = answers.where(f"{A} IS NOT NULL").selectExpr("id", f"{A} AS t", f"lower({A}) AS low", f"{normal(A)} AS norm").withColumn("words", F.expr(D.all("low", P.WORD)))
     patterns = D.trans(D.filt(D.trans(D.sentences("t"), "v", normal("v")), "p", f"{D.size(X.tokens(D, 'p'))} >= 6"), "k", "xxhash64(k)")
-    rx = lambda p: D.rx("t", P.words(p))
+    rx = lambda p: P.holds("low", "words", p)
     return rows.selectExpr(
         "id",
         f"{D.size(X.tokens(D, 't'))} AS n_words",
@@ -128,8 +128,8 @@ PAIR_HARD = ["scripture_metadata_leakage", "corrupted_characters", "duplicate_re
 
 def pair_audit(spark: SparkSession, data_dir: str) -> DataFrame:
     """The audit of prompt and answer pairs: counts of prompts too, and stricter status. Pairs with a null side take no part."""
-    rows = table(spark, data_dir, "training_examples").where(f"{A} IS NOT NULL AND user_problem IS NOT NULL").selectExpr("id", f"{A} AS t", f"{X.norm_b(D, A)} AS norm", f"{X.norm_b(D, 'user_problem')} AS prompt_norm")
-    rx = lambda p: D.rx("t", P.words(p))
+    rows = table(spark, data_dir, "training_examples").where(f"{A} IS NOT NULL AND user_problem IS NOT NULL").selectExpr("id", f"{A} AS t", f"{X.norm_b(D, A)} AS norm", f"{X.norm_b(D, 'user_problem')} AS prompt_norm", f"lower({A}) AS low").withColumn("words", F.expr(D.all("low", P.WORD)))
+    rx = lambda p: P.holds("low", "words", p)
     rows = cut(
         rows.selectExpr(
             "id",

@@ -35,7 +35,7 @@ PROMPT_RULES = [
     Rule("prompt_too_long", "p_words > 26", -10),
     Rule("prompt_overloaded", "contains(p_low, ' and ') AND p_commas >= 2", -8),
     Rule("prompt_low_variety", "p_distinct < greatest(4, floor(p_words / 3))", -8),
-    Rule("themed", D.rx("p_low", P.words(P.PROMPT_THEMES)), 5, False),
+    Rule("themed", P.holds("p_low", "p_tokens", P.PROMPT_THEMES), 5, False),
 ]
 
 # (name, condition, change of quality, of repetition, of actionability, times the column)
@@ -55,8 +55,8 @@ RESPONSE_RULES = [
     ("no_concrete_next_step", "concrete = 0", -10, 0, -18, None),
     (None, "concrete = 1", 0, 0, -5, None),
     (None, "concrete >= 2", 0, 0, 5, None),
-    ("weak_practical_action", f"NOT {D.rx('low', P.words(P.ACTION_VERBS))}", -8, 0, -12, None),
-    ("medical_or_therapy_language", D.rx("low", P.words(P.MEDICAL)), -20, 0, 0, None),
+    ("weak_practical_action", f"NOT {P.holds('low', 'words', P.ACTION_VERBS)}", -8, 0, -12, None),
+    ("medical_or_therapy_language", P.holds("low", "words", P.MEDICAL), -20, 0, 0, None),
     ("looping_or_unstable_phrase", D.any_of("low", P.LOOPING), -20, -25, 0, None),
     ("looping_template", "loops >= 2", -25, -30, 0, None),
 ]
@@ -65,14 +65,15 @@ RESPONSE_RULES = [
 def _count(text: str, phrase: str) -> str:
     """Occurrences of whole words; every sign between words is doubled before, so that neighbours share none."""
     doubled = D.sub(text, r"([^\p{L}\p{N}_])", "{1}{1}")
-    return D.size(D.all(doubled, r"(?:^|[^\p{L}\p{N}_])" + phrase.replace(" ", "  ") + r"(?:$|[^\p{L}\p{N}_])"))
+    return f"CASE WHEN contains({text}, {D.lit(phrase)}) THEN " + D.size(D.all(doubled, r"(?:^|[^\p{L}\p{N}_])" + phrase.replace(" ", "  ") + r"(?:$|[^\p{L}\p{N}_])")) + " ELSE 0 END"
 
 
 def measured(df: DataFrame) -> DataFrame:
     """df (id, user_problem, assistant_response) with what the rules look at."""
     key = X.norm_c(D, "user_problem")
     df = df.selectExpr("*", "lower(user_problem) AS p_low", f"{D.size(X.word_tokens(D, 'user_problem'))} AS p_words", f"{D.size(f'array_distinct({X.tokens(D, key)})')} AS p_distinct", f"lower({A}) AS low", f"{X.sentence_list(D, X.clean_text(D, A))} AS ss")
-    df = df.selectExpr("*", f"{D.trans('ss', 'v', X.norm_c(D, 'v'))} AS sentence_keys", f"{D.trans('ss', 'v', D.join(D.slice(X.word_tokens(D, 'lower(v)'), 1, 6), ' '))} AS stems")
+    plain = X.clean_text(D, D.sub("lower(v)", r"[^\p{L}\p{N}_\s]", ""))
+    df = df.selectExpr("*", f"{D.all('p_low', P.WORD)} AS p_tokens", f"{D.all('low', P.WORD)} AS words", f"{D.trans('ss', 'v', plain)} AS sentence_keys", f"{D.trans('ss', 'v', D.join(D.slice(X.word_tokens(D, 'lower(v)'), 1, 6), ' '))} AS stems")
     hits = [f"CAST((length(low) - length(replace(low, {D.lit(s)}, ''))) / {len(s)} AS BIGINT) AS scaffold_{i}" for i, s in enumerate(P.SCAFFOLDS)]
     return df.selectExpr(
         "*",
@@ -82,7 +83,7 @@ def measured(df: DataFrame) -> DataFrame:
         *hits,
         f"{_count('low', 'that is')} AS that_is",
         f"{_count('low', 'it helps')} AS it_helps",
-        f"{D.size(D.all('low', P.LOOP_TEMPLATE))} AS loops",
+        f"CASE WHEN contains(low, 'stop letting') THEN {D.size(D.all('low', P.LOOP_TEMPLATE))} ELSE 0 END AS loops",
         "size(sentence_keys) > size(array_distinct(sentence_keys)) AS same_sentence",
         "size(stems) > size(array_distinct(stems)) AS same_stem",
         f"{D.rx(A, r'(?m)^\s*\d+\.\s')} OR contains({A}, '**') AS listicle",
@@ -167,7 +168,8 @@ def dedup_two_phase(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def uniqueness_sweep(spark: SparkSession, data_dir: str) -> DataFrame:
     """Of the rows the score keeps, by final score and then arrival: the first of each answer, and of these the first of each prompt."""
-    rows = keyed(spark, data_dir).where(F.col("final_score") >= KEEP).select("id", "final_score", "exact_key", "answer_key")
+    # cut before the filter, which would else be computed from the texts a second time below the projection
+    rows = cut(keyed(spark, data_dir).select("id", "final_score", "exact_key", "answer_key")).where(F.col("final_score") >= KEEP)
     by = [F.col("final_score"), -F.col("id")]
     of_answer = winners(rows, "answer_key", by).select("winner.*")
     return winners(of_answer, "exact_key", by).select("winner.id", "winner.final_score")
@@ -193,18 +195,20 @@ def cleanup_report(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def rubric_score(spark: SparkSession, data_dir: str) -> DataFrame:
     """Six sub-scores of 1 to 5 and their sum; words count once however often they stand in the answer."""
-    rows = examples(spark, data_dir, A).where(f"{A} IS NOT NULL").selectExpr("id", f"{A} AS t", f"{X.letter_tokens(D, A)} AS w")
+    rows = examples(spark, data_dir, A).where(f"{A} IS NOT NULL").selectExpr("id", f"{A} AS t", f"lower({A}) AS low").selectExpr("*", f"{D.all('low', "[a-z']+")} AS w", f"{D.all('low', P.WORD)} AS words")
+    rx = lambda p: P.holds("low", "words", p)
     known = lambda bank: f"size(array_intersect(array_distinct(w), {D.strings(bank)}))"
     one = lambda c: f"CASE WHEN {c} THEN 1 ELSE 0 END"
-    scripture, repeats, semis = D.rx("t", P.words(P.RUBRIC_SCRIPTURE)), X.trigram_repetition(D, "w"), "(length(t) - length(replace(t, ';', '')))"
+    scripture, repeats, semis = rx(P.RUBRIC_SCRIPTURE), X.trigram_repetition(D, "w"), "(length(t) - length(replace(t, ';', '')))"
     parts = {
         "calm": f"2 + least(3, {known(P.CALM)}) - {one("contains(t, '!')")}",
         "clarity": f"2 + least(3, {known(P.PHILOSOPHICAL)} DIV 2 + 1) - {one(scripture)}",
-        "action": f"element_at(array(1, 3, 4, 5), CAST(least(3, {known(P.ACTIONS)}) + 1 AS INT)) + {one(D.rx('t', P.words(P.RUBRIC_TIME)))}",
-        "humility": f"CASE WHEN {D.rx('t', P.words(P.RUBRIC_PREACHY))} THEN 1 WHEN {scripture} THEN 3 ELSE 5 END - {one(D.rx('t', P.words('you must')))}",
-        "empathy": f"2 + 2 * {one(D.rx('t', P.words(P.RUBRIC_EMPATHY)))} + {one(D.rx('t', P.words(P.RUBRIC_FEELING)))}",
-        "repetition": f"5 - {one(f'{repeats} >= 2')} - {one(f'{repeats} >= 4')} - {one(f'{semis} >= 1')} - {one(f'{semis} >= 3')}",
+        "action": f"element_at(array(1, 3, 4, 5), CAST(least(3, {known(P.ACTIONS)}) + 1 AS INT)) + {one(rx(P.RUBRIC_TIME))}",
+        "humility": f"CASE WHEN {rx(P.RUBRIC_PREACHY)} THEN 1 WHEN {scripture} THEN 3 ELSE 5 END - {one(rx('you must'))}",
+        "empathy": f"2 + 2 * {one(rx(P.RUBRIC_EMPATHY))} + {one(rx(P.RUBRIC_FEELING))}",
+        "repetition": f"5 - {one('again >= 2')} - {one('again >= 4')} - {one(f'{semis} >= 1')} - {one(f'{semis} >= 3')}",
     }
+    rows = rows.withColumn("again", F.expr(repeats))
     return rows.selectExpr("id", *[f"CAST(greatest(1, least(5, {e})) AS BIGINT) AS {k}" for k, e in parts.items()]).withColumn("total", F.expr(" + ".join(parts)))
 
 
