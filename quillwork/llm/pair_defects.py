@@ -36,7 +36,10 @@ FUNCTION_WORDS = {
     "es": "el los las y que es una un de no en por con se del lo su para como más",
     "it": "il lo gli e che è una un di non in per con si del la sono come più",
     "pt": "o os as e que é uma um de não em por com se do da para como mais",
+    "nl": "het een van niet dat je jij ik is en op te zijn maar ook naar wat hoe dit aan bij deze hebt kunt wordt geen uw",
 }
+# First and last sign of scripts that tell a language.
+SCRIPTS = {"el": "Ͱ\u03ff", "ru": "Ѐӿ", "he": "\u0590\u05ff", "ar": "\u0600\u06ff", "hi": "ऀॿ", "th": "\u0e00\u0e7f", "ko": "가\ud7af"}
 # Names of languages as prompts ask for them.
 ASKED = {
     "en": r"english|englisch|anglais|अंग्रेज़ी|英文|英语",
@@ -45,13 +48,20 @@ ASKED = {
     "hi": r"hindi|हिंदी|हिन्दी|印地语",
     "zh": r"chinese|mandarin|chinesisch|chinois|चीनी|中文|汉语",
     "es": r"spanish|spanisch|espagnol|español|स्पेनिश|西班牙语",
+    "it": r"italian|italienisch|italien|italiano",
+    "pt": r"portuguese|portugiesisch|portugais|português",
+    "nl": r"dutch|niederländisch|néerlandais|nederlands",
+    "ja": r"japanese|japanisch|japonais|日本語|日语",
+    "ru": r"russian|russisch|russe|русск",
 }
 # Words of refusals and of the phrases that follow them.
 DECLINES = (
     r"\b(?:i|we)(?: am|'m| must| have to| will|'ll| would|'d)?(?: really| simply)? ?(?:can(?:no|')t|cannot|can not|won't|unable|not able|decline|rather not|do not have the ability|don't have the ability|pass on)\b"
     r"|\b(?:must|have to) decline\b|\bwon't be able\b|\bnot able to (?:assist|help|answer|respond|comment|advise|discuss)\b|\boutside what i can\b|\bagainst my (?:guidelines|rules|policy)\b|\bnot (?:be )?appropriate for me\b|\bleave (?:this|that|it)(?: one)? unanswered\b"
     r"|\bno comment\b|\bnot something i (?:will|can|want)\b|\b(?:language|ai) (?:assistant|model)\b"
-    r"|\bdazu kann ich\b|\bkann ich (?:leider )?nicht\b|\bich kann (?:leider |dazu |das |dir |ihnen )*n(?:icht|ichts)\b|\bje (?:ne peux|ne suis pas|refuse|préfère ne)\b|\bno puedo\b|क्षमा करें|माफ़? ?क(?:रें|ीजिए)|नहीं (?:कर|दे|बता) सकत|无法|不能(?:回答|提供|帮)|抱歉|对不起"
+    r"|\b(?:beyond|outside) (?:the scope|my (?:scope|role|remit|abilities))\b|\b(?:is|are) off[- ]limits\b|\b(?:have to|must|will|going to|'ll) (?:skip|refuse|pass)\b|\bprefer not to\b|\bnot (?:comfortable|allowed|permitted|in a position)\b|\bnothing i can (?:say|offer|do)\b"
+    r"|\bdazu kann ich\b|\bkann ich (?:leider )?nicht\b|\bich kann (?:leider |dazu |das |dir |ihnen )*n(?:icht|ichts)\b|\bje (?:ne peux|ne suis pas|refuse|préfère ne)\b|\bno puedo\b|\bprefiero no\b|\bno me es posible\b|\bnon posso\b|\bpreferisco non\b|\bnão posso\b|\bprefiro não\b|\bkan ik (?:helaas )?niet\b|\bik kan (?:helaas |daar |je |u )*niet\b|\bне могу\b"
+    r"|क्षमा करें|माफ़? ?क(?:रें|ीजिए)|नहीं (?:कर|दे|बता) सकत|无法|不能(?:回答|提供|帮)|抱歉|对不起|申し訳|できません|できかねます|お答えでき|죄송|할 수 없"
 )
 CLOSES = r"^(?:\W*(?:sorry|i'm sorry|i am sorry|i apologi[sz]e|regrettably|unfortunately|with respect|thank you for (?:sharing|asking)|i understand this is hard|as a (?:language|ai) \w+)\b[^.]{0,14}|\W*(?:please|kindly) (?:ask|consult|try|contact|seek)\b.*|\W*(?:try|consider) (?:rephrasing|asking)\b.*|\W*let us talk about\b.*|\W*i hope you understand\b.*|\W*is there anything else\b.*)$"
 LEADS = r"^(?:re|you ask(?:ed)?|you said|your question|question|q|a|answer|hm+|right|i see|okay|ok|well|so|indeed|yes|good question|du fragst|vous demandez)$"
@@ -64,9 +74,10 @@ def _patterns():
     return {
         "word": regex.compile(r"[\p{Han}]|[\p{L}\p{M}\p{N}]+"),
         "ascii": re.compile(r"[a-z0-9]+"),
-        "scripted": re.compile("[Ѐ-ӿऀ-ॿ一-鿿]"),
+        "scripted": re.compile("[Ͱ-ӿ֐-ۿऀ-ॿ฀-๿぀-ヿ一-鿿가-힯]"),
         "letter": regex.compile(r"[\p{L}\p{M}]"),
-        "cue": re.compile(r"(?:sorry|apolog|unable|can't|can’t|cannot|can not|won't|won’t|declin|not able|ability|rather not|outside what|guideline|policy|appropriate|unanswered|no comment|not something|assistant|ai model|language model|pass on|regrettabl|unfortunate|respect,|thank you|leider|nichts|kann ich|ich kann|je ne|je refuse|puedo|क्षमा|माफ|नहीं|无法|不能|抱歉|对不起)"),
+        # every alternative of DECLINES holds one of these, so the search is only made where it can succeed
+        "may_decline": re.compile(r"can't|cannot|can not|won't|unable|not able|declin|rather not|(?:not|n't) have the ability|pass on|(?:to|must|will|'ll) (?:pass|skip|refuse)|outside|beyond|against my|appropriate|unanswered|no comment|not something|assistant|model|off[- ]limits|prefer not|not (?:comfortable|allowed|permitted|in a position)|nothing i can|kann|kan ik|ik kan|je refuse|peux|suis pas|préfère ne|puedo|prefiero|preferisco|prefiro|posible|posso|могу|क्षमा|माफ|नहीं|无法|不能|抱歉|对不起|申し訳|できません|できかね|お答え|죄송|할 수"),
         "dangling": re.compile(r"[:\n]\s*(?:\d{1,3}[.)]|[-*•])$"),
         "clause": regex.compile(r"[^\n.!?।。！？]+(?:[.!?।。！？…]+[\"'”’»)\]]*)?|[.!?…]+"),
         "declines": regex.compile(DECLINES, regex.I),
@@ -88,7 +99,12 @@ def language(words: list[str], text: str) -> str | None:
         other = p["scripted"].findall(text)
         if other:
             letters = len(p["letter"].findall(text))
-            for name, n in (("zh", 2 * sum("一" <= c <= "鿿" for c in other)), ("hi", sum("ऀ" <= c <= "ॿ" for c in other)), ("ru", sum("Ѐ" <= c <= "ӿ" for c in other))):
+            kana = sum("぀" <= c <= "ヿ" for c in other)
+            han = sum("一" <= c <= "鿿" for c in other)
+            counts = {"ja": 2 * (kana + han) if kana else 0, "zh": 0 if 5 * kana > han else 2 * han}
+            for name, (first, last) in SCRIPTS.items():
+                counts[name] = sum(first <= c <= last for c in other)
+            for name, n in counts.items():
                 if 2 * n > letters:
                     return name
     return _latin(words)
@@ -118,6 +134,12 @@ def asked_languages(question: str) -> set[str]:
     return out
 
 
+def may_decline(text: str) -> bool:
+    p = _patterns()
+    plain = text.replace("’", "'").lower()
+    return bool(p["may_decline"].search(plain) and p["declines"].search(plain))
+
+
 class Pair:
     """One question and answer with the features of the answer's clauses."""
 
@@ -144,18 +166,18 @@ class Pair:
         self.q_cover = len(q_pairs & a_pairs) / len(q_pairs) if q_pairs else float(bool(q_words) and q_words == a_words)
         echo_any = self.q_cover > 0.2
         open_end = is_open(answer)
-        if not (echo_any or foreign_all or open_end) and not p["cue"].search(answer.lower()):
-            return  # no clause shows any sign: all of them are answer without running the field
+        if not (echo_any or foreign_all or open_end) and not may_decline(answer):
+            return  # no clause of it can be anything but answer: the features of all other tags are zero
         parts = [c for c in p["clause"].findall(answer) if p["word"].search(c)] or [answer]
         for i, c in enumerate(parts):
             words = _words(c)
             pairs = list(zip(words, words[1:]))
             share = (sum(x in q_pairs for x in pairs) / len(pairs) if pairs else float(words[0] in q_words)) if echo_any else 0.0
-            declines = bool(p["declines"].search(c.replace("’", "'")))
+            declines = may_decline(c)
             closes = bool(p["closes"].match(c.replace("’", "'").strip()))
             if foreign_all:
                 lang = language(words, c) if len(words) > 3 else None
-                foreign = lang is not None and lang != self.q_lang or (lang is None and self.a_lang in ("zh", "hi", "ru") and language(words, c) == self.a_lang)
+                foreign = lang is not None and lang != self.q_lang or (lang is None and (self.a_lang in SCRIPTS or self.a_lang in ("zh", "ja")) and language(words, c) == self.a_lang)
             else:
                 foreign = False
             last = i == len(parts) - 1
@@ -302,7 +324,8 @@ def defect_of(pair: Pair, tags: np.ndarray) -> str | None:
     cover = {k: int(sizes[tags == k].sum()) for k in range(len(LABELS))}
     rows = np.array(pair.rows)
     soft = rows[:, FEATURES.index("closes")] + rows[:, FEATURES.index("declines")] > 0
-    if cover[REFUSAL] and int(sizes[(tags != REFUSAL) & ~soft].sum()) == 0:
+    declined = bool(rows[tags == REFUSAL, FEATURES.index("declines")].any())  # closing phrases alone decline nothing
+    if declined and int(sizes[(tags != REFUSAL) & ~soft].sum()) == 0:
         return "refusal"
     if cover[ECHO] and pair.q_cover >= ECHO_OF_QUESTION and pair.total - cover[ECHO] <= max(TRIVIAL_WORDS, 0.08 * pair.total):
         return "copied_question"
@@ -326,13 +349,13 @@ def pair_defect(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.S
 
 
 def prompt_pairs(spark: SparkSession, data_dir: str) -> DataFrame:
-    """record_table, record_id, question, answer. Every assistant turn of a chat is paired with the last user turn before it."""
-    examples = table(spark, data_dir, "training_examples").select(F.lit("training_examples").alias("record_table"), F.col("id").alias("record_id"), F.col("user_problem").alias("question"), F.col("assistant_response").alias("answer"))
+    """record_table, record_id, turn, question, answer. Every assistant turn of a chat is paired with the last user turn before it."""
+    examples = table(spark, data_dir, "training_examples").select(F.lit("training_examples").alias("record_table"), F.col("id").alias("record_id"), F.lit(0).alias("turn"), F.col("user_problem").alias("question"), F.col("assistant_response").alias("answer"))
     chats = table(spark, data_dir, "chat_records").select("record_id", "messages")
     turns = chats.select(
         F.lit("chat_records").alias("record_table"),
         "record_id",
-        F.explode(
+        F.posexplode(
             F.filter(
                 F.transform(
                     "messages",
@@ -343,15 +366,15 @@ def prompt_pairs(spark: SparkSession, data_dir: str) -> DataFrame:
                 ),
                 lambda x: x.isNotNull(),
             )
-        ).alias("p"),
-    ).select("record_table", "record_id", "p.question", "p.answer")
+        ).alias("turn", "p"),
+    ).select("record_table", "record_id", "turn", "p.question", "p.answer")
     return examples.unionByName(turns)
 
 
 def p7_found(spark: SparkSession, data_dir: str) -> DataFrame:
     found = prompt_pairs(spark, data_dir).withColumn("defect", pair_defect("question", "answer")).where("defect is not null")
-    # a record has one defect: of several turns the first kind by name
-    return found.groupBy("record_table", "record_id").agg(F.min("defect").alias("defect"))
+    # a record has one defect: that of its first defective turn
+    return found.groupBy("record_table", "record_id").agg(F.min_by("defect", "turn").alias("defect"))
 
 
 def p7_counts(spark: SparkSession, data_dir: str) -> DataFrame:

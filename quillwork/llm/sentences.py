@@ -5,8 +5,10 @@ list marks, its edges the units between two gaps. Each gap costs what its surrou
 decimal, initial, ordinal, letter case, reporting clause after a quotation, opening word), each edge what its
 shape tells (no word in it, brackets left open), and the cheapest path gives the sentences.
 
-Spaceless scripts have no letter case and may lack periods: there the text around a gap is first segmented by a
-word lattice over a dictionary, and the gap is classified by final particles before and opening words after it.
+Spaceless scripts have no letter case and may lack periods. Where a stretch of them has no terminator, it is segmented
+by a word lattice over a dictionary of function words, its blanks, line ends and word borders are the gaps, and each is
+classified by the final particle before it, the opening word after it and linking words that carry the clause on. The
+same classification decides after an ellipsis. Null and blank texts have no sentences.
 """
 
 from __future__ import annotations
@@ -28,13 +30,20 @@ NEVER_LAST = set("cf vgl e.g i.e viz d.h z.b p.ex c.-à-d bzw ca d z b u h ex zi
 MAY_BE_LAST = set("etc usw al ff f u.s.w u.a sq".split())
 # Words before a German ordinal number.
 BEFORE_ORDINAL = set("am vom zum beim im der den dem des die das jeden ihr sein am".split())
-# Small dictionaries of spaceless scripts.
-PARTICLES = set("了 吗 呢 吧 啊 呀 嘛 哦 的 么 か ね よ わ ครับ ค่ะ คะ นะ".split())
+# Function words of Chinese, Japanese and Thai. Particles end a sentence, openers begin one, links carry it on.
+PARTICLES = set("吗 呢 吧 啊 呀 嘛 哦 啦 么 ね よ か わ ぞ です ます でした ました だった ません である ครับ ค่ะ คะ นะ จ้ะ แล้ว".split())
+WEAK_PARTICLES = set("了 的 だ た".split())
 OPENERS = set(
-    "人们 人们说 当 如果 因为 所以 但是 可是 然而 不是 正如 寻找 放下 大约 他们 我们 你们 我 你 他 她 这 那 这些 那些 于是 后来 首先 其次 最后 在 从 对于 关于 虽然 即使 为了 每 有 没有 半夜 黄昏 多年 下雨 天 そして しかし だから また 私 彼 彼女 แต่ และ เมื่อ ถ้า เพราะ".split()
+    "我 你 您 他 她 它 我们 你们 他们 她们 这 那 这些 那些 这里 那里 但是 可是 不过 然而 因此 所以 因为 如果 虽然 即使 于是 然后 后来 最后 首先 其次 另外 今天 明天 昨天 现在 当时 有时 为什么 怎么 什么"
+    " そして しかし でも だから また 私 彼 彼女 この その あの これ それ もし 今日 昨日 明日 แต่ และ เมื่อ ถ้า เพราะ ดังนั้น ฉัน ผม เขา เธอ เรา วันนี้ พรุ่งนี้".split()
 )
-LINKS = set("也 便 就 却 而 都 又 还 才 则 并 并且 而且 以及".split())
-DICTIONARY = PARTICLES | OPENERS | LINKS | set("什么 为什么 怎么 如此 一再 重新 慢慢 忽然 终于 不知不觉 地 与 和 或 把 被 让 使 给 到 离去 问道 说 问".split())
+LINKS = set("也 便 就 却 而 都 又 还 才 则 并 并且 而且 以及 と が を に で は も の へ から まで ที่ ซึ่ง ของ ใน".split())
+DICTIONARY = PARTICLES | WEAK_PARTICLES | OPENERS | LINKS | set("什么 如此 重新 慢慢 忽然 终于 地 与 和 或 把 被 让 使 给 到 说 问 没有 不是 知道 时候".split())
+LONGEST = max(map(len, DICTIONARY))
+#: Letters of a word that is in no dictionary; a unit without a terminator has this many letters at least.
+LONGEST_UNKNOWN, LEAST_UNIT = 2, 4
+#: Letters around a gap that can hold four words of the dictionary.
+AROUND = 4 * LONGEST
 
 SPACELESS = r"[฀-ໝက-႟ក-៿぀-ヿ㐀-鿿]"
 LIST_MARK = r"(?:[-*•–—▪]|\((?:\d{1,3}|[A-Za-z]|[ivx]{1,4})\)|(?:\d{1,3}|[A-Za-z]|[ivx]{1,4})\)|(?:\d{1,3})[.．、])(?=\s)"
@@ -55,19 +64,21 @@ def _patterns():
         "said_hi": regex.compile(r"[\p{L}\p{M}]+(?:\s+[\p{L}\p{M}]+){0,3}\s+ने\s+(?:[\p{L}\p{M}]+\s+){0,3}?(?:पूछा|कहा|बोला)\s*[।.!?]"),
         "said_zh": regex.compile(r"[一-鿿]{1,6}?(?:问道|说道|答道|问|说|道|答)[。！？]"),
         "spaceless": regex.compile(SPACELESS),
+        "solid": regex.compile(SPACELESS + "+"),
+        "ended": regex.compile("[。！？!?.…．।॥]"),
         "letters": regex.compile(r"[\p{L}\p{N}]"),
         "blank": regex.compile(r"\s*"),
     }
 
 
-def word_lattice(text: str, dictionary: set[str] = DICTIONARY, longest: int = 4) -> list[str]:
-    """The cheapest path through the lattice of dictionary words; unknown stretches cost more by the character."""
+def word_lattice(text: str) -> list[str]:
+    """The cheapest path through the lattice of dictionary words; unknown words have up to LONGEST_UNKNOWN letters and cost more."""
     n = len(text)
     cost, back = [0.0] + [1e9] * n, [0] * (n + 1)
     for i in range(n):
-        for k in range(1, min(longest, n - i) + 1):
+        for k in range(1, min(LONGEST, n - i) + 1):
             w = text[i : i + k]
-            c = cost[i] + (0.6 if w in dictionary else 1.0 + 0.35 * k if k <= 2 else 9.0)
+            c = cost[i] + (0.6 if w in DICTIONARY else 0.3 + k if k <= LONGEST_UNKNOWN else 9.0)
             if c < cost[i + k]:
                 cost[i + k], back[i + k] = c, i
     out, i = [], n
@@ -78,14 +89,38 @@ def word_lattice(text: str, dictionary: set[str] = DICTIONARY, longest: int = 4)
 
 
 def _spaceless_gap(before: str, after: str) -> float:
-    """Cost of a boundary (negative: likely) between two spaceless stretches without a full stop."""
-    opening = word_lattice(after[:10])
-    closing = word_lattice(before[-8:])
-    if any(w in LINKS for w in opening[:4]) and not (opening and opening[0] in OPENERS):
+    """Cost of a boundary (negative: likely) after an ellipsis between two spaceless stretches."""
+    opening, closing = word_lattice(after), word_lattice(before)
+    if any(w in LINKS for w in opening[:4]) and opening[0] not in OPENERS:
         return 2.0
-    if closing and closing[-1] in PARTICLES:
-        return -2.0
-    return -1.0
+    return -2.0 if closing and closing[-1] in PARTICLES else -1.0
+
+
+def unmarked_gaps(text: str, begin: int, stop: int) -> list[int]:
+    """Starts of further sentences in a stretch of a spaceless script without any terminator.
+
+    The stretch is segmented; a word border is a boundary if the word before it ends a sentence and the next one does not
+    carry it on, or, at a blank or line end, if the next one opens a sentence.
+    """
+    p = _patterns()
+    starts: list[int] = []
+    parts = [(m.start(), m.end()) for m in p["solid"].finditer(text, begin, stop)]
+    last, since, closed = None, begin, False
+    for i, (a, b) in enumerate(parts):
+        at, first = a, True
+        if i and text[parts[i - 1][1] : a].strip():
+            last, closed = None, False  # behind a comma or another sign the clause goes on
+        for w in word_lattice(text[a:b]):
+            opens = w in OPENERS
+            blank = first and last is not None
+            if at - since >= LEAST_UNIT and w not in LINKS and w not in PARTICLES and w not in WEAK_PARTICLES:
+                if closed or (blank and (opens or last in WEAK_PARTICLES)) or (opens and last in WEAK_PARTICLES):
+                    starts.append(at)
+                    since = at
+            closed = w in PARTICLES
+            last, first = w, False
+            at += len(w)
+    return starts
 
 
 def _gap_cost(text: str, unit: int, m, s: int, end: int) -> float:
@@ -114,7 +149,7 @@ def _gap_cost(text: str, unit: int, m, s: int, end: int) -> float:
         return 3.0
     if "…" in term or term.count(".") > 1:
         if p["spaceless"].match(first):
-            return _spaceless_gap(text[max(unit, i - 12) : i], text[s : min(end, s + 14)])
+            return _spaceless_gap(text[max(unit, i - AROUND) : i], text[s : min(end, s + AROUND)])
         return -1.5 if e < s or quoted else (1.0 if first.isdigit() else -0.5)
     if "!" in term or "?" in term:
         if quoted and (p["said_hi"].match(text, s, end) or p["said_zh"].match(text, s, end)):
@@ -168,6 +203,9 @@ def sentence_starts(text: str | None) -> list[int]:
         at = following
         if begin >= stop:
             continue
+        if p["spaceless"].match(text, begin) and not p["ended"].search(text, begin, stop):
+            starts += [begin, *unmarked_gaps(text, begin, stop)]
+            continue
         # best: cheapest cost of a path that has a boundary at the node; paths keep the last few nodes open
         nodes = [(begin, 0.0, -1)]
         live = [0]
@@ -184,7 +222,7 @@ def sentence_starts(text: str | None) -> list[int]:
                 continue  # never on the cheapest path: leaving the gap out costs nothing
             nodes.append((s, best, origin))
             # a node stays open while paths through later nodes may still pass it by
-            live = [n for n in [*live[-2:], len(nodes) - 1] if nodes[n][1] <= best + 4.0]
+            live = [n for n in [*live, len(nodes) - 1] if nodes[n][1] <= best + 4.0]
         path, n = [], min(range(len(nodes)), key=lambda j: (nodes[j][1], -j))
         while n >= 0:
             path.append(nodes[n][0])
