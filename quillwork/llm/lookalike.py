@@ -1,8 +1,10 @@
 """Problem 3: one consistent form for text that looks the same in different characters.
 
-A longest-match transducer is compiled from rules: its keys are single characters and short sequences, its
-input units are grapheme clusters. The table is checked for conflicts when it is compiled: no key has two
-outputs, no output holds a key, and no key is a letter that the target alphabets use themselves.
+A longest-match transducer is compiled from rules and the Unicode data of the interpreter: its keys are single
+characters and short sequences (forms of width, font and typesetting, composed letters, look-alike letters and marks),
+its input units are grapheme clusters, and the output of a cluster is made once and looked up from then on. The table is
+checked for conflicts when it is compiled: no key has two outputs, no output holds a key, and no key is a letter that
+the target alphabets use themselves. A null stays null, '' stays ''; a replayed row is one value.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillwork.plans.lineage import cut
 from quillwork.sources.tables import table
 
 # Letters of other scripts that look like Latin ones.
@@ -23,7 +26,9 @@ LATIN_LOOKALIKES = {
     "а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "у": "y", "х": "x", "і": "i", "ј": "j", "ѕ": "s", "һ": "h", "ԁ": "d", "ԛ": "q", "ԝ": "w",
     "А": "A", "В": "B", "Е": "E", "К": "K", "М": "M", "Н": "H", "О": "O", "Р": "P", "С": "C", "Т": "T", "У": "Y", "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S",
     "ο": "o", "ρ": "p", "ν": "v", "Α": "A", "Β": "B", "Ε": "E", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P", "Τ": "T", "Χ": "X", "Ζ": "Z",
-    "ɑ": "a", "ɡ": "g", "ո": "n", "ս": "u", "օ": "o",
+    "ɑ": "a", "ɡ": "g", "ɩ": "i", "ո": "n", "ս": "u", "օ": "o", "զ": "q", "հ": "h", "ց": "g", "յ": "j", "Ս": "U", "Տ": "S", "Լ": "L", "ӏ": "l", "Ӏ": "I", "ϲ": "c", "Ϲ": "C", "ϳ": "j",
+    "ᴄ": "c", "ᴏ": "o", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ꜱ": "s",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꮢ": "R", "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
 }
 # Marks that look alike, and Devanagari sequences that look like one sign.
 MARK_LOOKALIKES = {
@@ -31,6 +36,12 @@ MARK_LOOKALIKES = {
     "|": "।", "ǀ": "।", "∣": "।", "│": "।", "।।": "॥", "||": "॥",
     "अा": "आ", "अो": "ओ", "अौ": "औ", "आे": "ओ", "आै": "औ", "एे": "ऐ", "ाे": "ो", "ाै": "ौ", "अॉ": "ऑ", "अॅ": "ॲ",
 }
+#: Kinds of compatibility forms that differ in width, font or typesetting only; raised, lowered, circled and squared ones look different.
+SAME_LOOK = ("<wide>", "<narrow>", "<font>", "<compat>", "<noBreak>")
+#: Forms of these kinds that a reader tells from their plain letters: long s, Greek letter variants, spacing accents.
+OTHER_LOOK = {0x017F, *range(0x03D0, 0x03F6), 0x1FBD, 0x1FBF, 0x1FC0, 0x1FFE, *range(0x2E80, 0x3000), *range(0xFDF0, 0xFE00)}
+#: Where the Unicode data have such forms.
+FORMS = [*range(0x0132, 0x0150), *range(0x01C4, 0x01F4), *range(0x2010, 0x2190), *range(0x2474, 0x24B6), *range(0xA700, 0xAB70), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFFEF), *range(0x1D400, 0x1D800)]
 #: Signs after which a colon is a visarga: Devanagari letters and vowel signs.
 DEVANAGARI = ("ऀ", "ॣ")
 VIRAMA = "्"
@@ -60,9 +71,12 @@ class Transducer:
                 raise ValueError(f"two outputs for {key!r}")
             table_[key] = value
 
-        for code in range(0xFF01, 0xFF5F):  # full-width forms, by rule
-            wide, plain = chr(code), chr(code - 0xFEE0)
-            rule(wide, MARK_LOOKALIKES.get(plain, plain))
+        for code in FORMS:  # forms of width, font and typesetting, by rule
+            kind = unicodedata.decomposition(chr(code)).partition(" ")[0]
+            if kind in SAME_LOOK and code not in OTHER_LOOK and chr(code) not in MARK_LOOKALIKES and chr(code) not in LATIN_LOOKALIKES:
+                plain = unicodedata.normalize("NFKC", chr(code))
+                if plain.strip() == plain and not is_invisible(plain[0]):
+                    rule(chr(code), "".join(MARK_LOOKALIKES.get(c, LATIN_LOOKALIKES.get(c, c)) for c in plain))
         for code in [*range(0x250), *range(0x1E00, 0x1F00), *range(0x0900, 0x0980)]:  # one form for composed letters, by rule
             ch = chr(code)
             parts = unicodedata.normalize("NFD", ch)
@@ -162,7 +176,8 @@ def p3_found(spark: SparkSession, data_dir: str) -> DataFrame:
     Equal values are first merged into one spelling; only the spellings of a form are paired, and the
     pairs are then joined to their verses, so a form of which there are many equal copies costs nothing.
     """
-    values = consistent_verses(spark, data_dir).select("field_name", "verse_id", F.md5("raw").alias("spelling"), F.md5("form").alias("form")).distinct()
+    # the transducer runs once: what follows reads a table of hashes
+    values = cut(consistent_verses(spark, data_dir).select("field_name", "verse_id", F.md5("raw").alias("spelling"), F.md5("form").alias("form")).distinct())
     spellings = values.select("field_name", "form", "spelling").distinct()
     several = spellings.groupBy("field_name", "form").agg(F.count("*").alias("n")).where("n > 1").select("field_name", "form")
     spellings = spellings.join(several, ["field_name", "form"], "left_semi")

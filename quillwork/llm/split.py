@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwork.sources.tables import table
+from quillwork.sources.tables import first_arrival, table
 
 #: Boundaries in order of strength, each as a look-behind of bounded length.
 BOUNDARIES = (
@@ -72,38 +72,33 @@ def split_pieces(df: DataFrame, text: str, max_chars: Column, overlap_chars: Col
     return df.withColumn(out, piece).drop("_own", "_lap", "_ends")
 
 
-def item_pieces(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Pieces of every item named in split_limits: item_table, item_id, piece_no, start_char, n_chars, piece, n_pieces.
+def item_pieces(spark: SparkSession, data_dir: str, arrived_once: bool) -> DataFrame:
+    """item_table, item_id, pieces of every item whose field split_limits names; of several limits for a field the smallest stands.
 
-    split_limits is a fixed table of two rows; it is joined to each item table by its own name.
-    Replayed items come out once.
+    Limits are scalar subqueries, so there is no join. With arrived_once replayed rows are merged before they are cut.
     """
     limits = table(spark, data_dir, "split_limits")
     out = None
     for name, field in (("extracted_document_texts", "raw_text"), ("document_chunks", "content")):
-        items = table(spark, data_dir, name).select(
-            F.lit(name).alias("item_table"), F.lit(field).alias("item_field"), F.col("id").alias("item_id"), F.col(field).alias("text")
-        )
-        cut = split_pieces(
-            items.join(F.broadcast(limits), ["item_table", "item_field"]), "text", F.col("max_chars"), F.col("overlap_chars")
-        ).select("item_table", "item_id", "pieces")
+        items = table(spark, data_dir, name).select("id", "ingest_seq", F.col(field).alias("text"))
+        if arrived_once:
+            items = first_arrival(items)
+        own = limits.where((F.col("item_table") == name) & (F.col("item_field") == field))
+        limit = own.select(F.min(F.struct("max_chars", "overlap_chars")).alias("x"))
+        items = items.select(F.lit(name).alias("item_table"), F.col("id").alias("item_id"), "text", limit.select("x.max_chars").scalar().alias("max_chars"), limit.select("x.overlap_chars").scalar().alias("overlap_chars"))
+        cut = split_pieces(items.where("max_chars is not null"), "text", F.col("max_chars"), F.col("overlap_chars")).select("item_table", "item_id", "pieces")
         out = cut if out is None else out.unionByName(cut)
     return out
 
 
 def p2_found(spark: SparkSession, data_dir: str) -> DataFrame:
     """Items that the cutting operator divides, each once."""
-    return item_pieces(spark, data_dir).where(F.size("pieces") > 1).select("item_table", "item_id").distinct()
+    return item_pieces(spark, data_dir, False).where(F.size("pieces") > 1).select("item_table", "item_id").distinct()
 
 
 def p2_pieces(spark: SparkSession, data_dir: str) -> DataFrame:
     """Every piece of every item."""
-    return (
-        item_pieces(spark, data_dir)
-        .select("item_table", "item_id", F.size("pieces").alias("n_pieces"), F.inline("pieces"))
-        .withColumn("n_chars", F.length("piece"))
-        .distinct()
-    )
+    return item_pieces(spark, data_dir, True).select("item_table", "item_id", F.size("pieces").alias("n_pieces"), F.inline("pieces")).withColumn("n_chars", F.length("piece"))
 
 
 P2_FOUND_SQL = """
