@@ -1,6 +1,6 @@
 """Problem 5: text decoded with the wrong character encoding.
 
-A chain is a wrong decoder that UTF-8 bytes went through, possibly twice. For each chain the places of a text that
+A chain is a wrong decoder that UTF-8 bytes went through, possibly with further hops through the same or another one. For each chain the places of a text that
 read as UTF-8 sequences in it are found; the evidence of a record for a chain is the log-likelihood of the restored
 characters against the standing ones under the characters of all clean text. Expectation-maximization then
 estimates, for each source and field, how common each chain is: weak evidence (a single short sequence) counts
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from quillwork.plans.lineage import cut
 from quillwork.sources.tables import first_arrival, table
 
-SINGLE_BYTE = ("cp1252", "iso8859_15", "cp1250", "cp1251", "cp1253", "cp1254", "koi8_r", "cp437", "cp850", "cp866", "mac_roman")
+SINGLE_BYTE = ("cp1252", "iso8859_15", "iso8859_2", "cp1250", "cp1251", "cp1253", "cp1254", "koi8_r", "cp437", "cp850", "cp866", "mac_roman")
 MULTI_BYTE = ("gbk", "shift_jis", "big5")
 LOST = "lost"
 CHAINS = (*SINGLE_BYTE, *MULTI_BYTE, LOST)
@@ -66,14 +66,31 @@ def _suspect() -> re.Pattern:
     return re.compile(f"{either(leads)}{either(rest)}|{WIDE_RUN.pattern[:-1]}")
 
 
-def _again(text: str, depth: int = 2) -> str:
-    """Undo a second pass through the same kind of chain."""
-    rx, of = _chains()["cp1252"]
-    for _ in range(depth):
-        new = rx.sub(lambda m: _bytes(m.group(), of) or m.group(), text)
-        if new == text:
+#: Code points that a text restored from a second hop may hold: those of scripts in common use.
+HOME = re.compile("[\x00-\u024f\u0300-\u058f\u0900-\u0d7f\u0e00-\u0eff\u1e00-\u22ff\u3000-\u9fff\uac00-\ud7af]*")
+FOREIGN_RUN = re.compile(r"[^\x00-\x7f]+")
+
+
+def _again(text: str, first: str) -> str:
+    """Undo further hops: through the same chain, the commonest one, or any other.
+
+    A hop is undone where every run of foreign signs of the text reads as UTF-8 in the chain and gives at most half as
+    many signs, of scripts in common use; a chain other than the first two needs four foreign signs.
+    """
+    for _ in range(2):
+        for name in dict.fromkeys((first, "cp1252", *SINGLE_BYTE)):
+            rx, of = _chains()[name]
+            runs = FOREIGN_RUN.findall(text)
+            n = sum(map(len, runs))
+            if n < (2 if name in (first, "cp1252") else 4) or not all(rx.fullmatch(r) for r in runs):
+                continue
+            got = [_bytes(r, of) for r in runs]
+            if all(g is not None and HOME.fullmatch(g) for g in got) and 2 * sum(map(len, got)) <= n:
+                parts = iter(got)
+                text = FOREIGN_RUN.sub(lambda m: next(parts), text)  # noqa: B023
+                break
+        else:
             break
-        text = new
     return text
 
 
@@ -92,7 +109,7 @@ def stretches(text: str) -> Iterator[tuple[int, int, str, str]]:
         for m in rx.finditer(text):
             got = _bytes(m.group(), of)
             if got is not None:
-                yield m.start(), m.end(), name, _again(got)
+                yield m.start(), m.end(), name, _again(got, name)
     for m in WIDE_RUN.finditer(text):
         for name in MULTI_BYTE:
             raw = b"".join(c.encode(name, "ignore") if c != "�" else b"\xff" for c in m.group())

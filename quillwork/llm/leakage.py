@@ -5,7 +5,9 @@ texts that share w + k - 1 words in a row share a kept hash. The fingerprints of
 each hit gives a diagonal (document word minus item word), and the diagonal is extended word by word.
 
 A stretch of 24 or more words with at most one in twelve exchanged has at least eight equal words in a row: k = 6 and
-w = 3 guarantee eight. A whole item of 12 to 23 words has at least six: such short items are looked for with k = 4.
+w = 3 guarantee eight. A whole item of 12 to 23 words has at least six: such short items are looked for with k = 4. An
+item of fewer words than that window takes is looked for as one k-gram of all its words. Documents leave only those
+kept k-grams that a filter of fixed size, made of the fingerprints of the items, lets through.
 """
 
 from __future__ import annotations
@@ -18,12 +20,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillwork.plans.bloom import bloom_of
 from quillwork.sources.tables import table
 
 K_LONG, K_SHORT, WINDOW = 6, 4, 3
 STRETCH, PER_EXCHANGED = 24, 12
-#: Item fingerprints are broadcast up to this many (16 bytes each); beyond it both sides are shuffled.
-BROADCAST_FINGERPRINTS = 1_000_000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,8 +54,8 @@ def word_hashes(texts: list[str | None], cache: dict[str, int]) -> tuple[np.ndar
     return np.array(flat, np.uint64), lengths
 
 
-def winnow(words: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, text numbers, positions) kept: the smallest k-gram of every window of WINDOW neighbours.
+def winnow(words: np.ndarray, lengths: np.ndarray, k: int, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, text numbers, positions) kept: the smallest k-gram of every window of neighbours.
 
     Windows run over all texts at once; a window over the border of two texts keeps one more k-gram, which does no
     harm. A text shorter than a window keeps its smallest.
@@ -70,8 +71,8 @@ def winnow(words: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray,
             grams ^= grams >> np.uint64(29)
     inside = owner[:n] == owner[k - 1 :]
     grams[~inside] = np.uint64(2**64 - 1)
-    padded = np.concatenate([np.full(WINDOW - 1, 2**64 - 1, np.uint64), grams, np.full(WINDOW - 1, 2**64 - 1, np.uint64)])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, WINDOW)
+    padded = np.concatenate([np.full(window - 1, 2**64 - 1, np.uint64), grams, np.full(window - 1, 2**64 - 1, np.uint64)])
+    windows = np.lib.stride_tricks.sliding_window_view(padded, window)
     at = np.unique(np.arange(len(windows)) - np.argmin(windows[:, ::-1], axis=1))
     at = at[(at >= 0) & (at < n)]
     at = at[inside[at]]
@@ -79,17 +80,15 @@ def winnow(words: np.ndarray, lengths: np.ndarray, k: int) -> tuple[np.ndarray,
     return grams[at].view(np.int64), owner[at], (at - starts[owner[at]]).astype(np.int32)
 
 
-def fingerprints(texts: DataFrame, key: str, k: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """key, h, at of every kept k-gram; only those among the sorted wanted hashes if given."""
+def fingerprints(texts: DataFrame, key: str, k: int, window: int = WINDOW, wanted=None) -> DataFrame:
+    """key, h, at of every kept k-gram; only those that the broadcast filter lets through if one is given."""
 
     def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cache: dict[str, int] = {}
         for b in batches:
-            h, owner, at = winnow(*word_hashes(b["text"].tolist(), cache), k)
+            h, owner, at = winnow(*word_hashes(b["text"].tolist(), cache), k, window)
             if wanted is not None:
-                if not len(wanted):
-                    continue
-                same = wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
+                same = wanted.value.holds(h)
                 h, owner, at = h[same], owner[same], at[same]
             if len(h):
                 yield pd.DataFrame({key: b[key].to_numpy()[owner], "h": h, "at": at})
@@ -138,14 +137,11 @@ def verified(docs: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator
         yield pd.Series(out, dtype=bool)
 
 
-def _leaks(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    test = fingerprints(items, "item_id", k).withColumnRenamed("at", "item_at")
-    wanted = None
-    if test.limit(BROADCAST_FINGERPRINTS + 1).count() <= BROADCAST_FINGERPRINTS:
-        wanted = np.array(sorted({r.h for r in test.select("h").toLocalIterator()}), np.int64)
-        test = F.broadcast(test)
+def _leaks(docs: DataFrame, items: DataFrame, k: int, window: int = WINDOW) -> DataFrame:
+    test = fingerprints(items, "item_id", k, window).withColumnRenamed("at", "item_at")
+    wanted = docs.sparkSession.sparkContext.broadcast(bloom_of(test.select("h")))
     hits = (
-        fingerprints(docs, "doc_id", k, wanted)
+        fingerprints(docs, "doc_id", k, window, wanted)
         .join(test, "h")
         .groupBy("doc_id", "item_id")
         .agg(F.collect_set(F.col("at") - F.col("item_at")).alias("offsets"))  # at most the length of the two texts
@@ -161,8 +157,7 @@ def _leaks(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id for every document that holds an item. docs: doc_id, text; items: item_id, text.
 
-    Null and empty texts hold nothing; an item of fewer than WINDOW + K_SHORT - 1 words is a common phrase, not a
-    passage. Repeated ids come out once. A hash that many items share meets each of them, without a cap.
+    Null and empty texts hold nothing, and an item without a word is held by none. Repeated ids come out once. A hash that many items share meets each of them, without a cap.
     """
     n_words = F.size(F.regexp_extract_all("text", F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0)))
     sized = items.where("text is not null").withColumn("_n", n_words)
@@ -170,6 +165,9 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     short = sized.where((F.col("_n") >= WINDOW + K_SHORT - 1) & (F.col("_n") < STRETCH)).drop("_n")
     if short.limit(1).count():
         found = found.unionByName(_leaks(docs, short, K_SHORT))
+    tiny = sized.where(F.col("_n").between(1, WINDOW + K_SHORT - 2))
+    for n in sorted(r._n for r in tiny.select("_n").distinct().collect()):  # at most five lengths
+        found = found.unionByName(_leaks(docs, tiny.where(F.col("_n") == n).drop("_n"), n, 1))
     return found.distinct()
 
 

@@ -16,6 +16,7 @@ import base64
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,14 +30,16 @@ SPLIT = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 LEVEL_BITS, LEVELS = 10, 3
 
 
-def token_counter(path: str):
-    """A pandas function that counts the tokens of texts; the vocabulary is read once by each worker. Null and '' count 0."""
+def token_counter(spark: SparkSession, path: str):
+    """A pandas function that counts the tokens of texts; the vocabulary file is sent to the workers and read once by each. Null and '' count 0."""
+    spark.sparkContext.addFile(path)
+    name = path.rpartition("/")[2]
 
     @F.pandas_udf(T.LongType())
     def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import tiktoken
 
-        with open(path, "rb") as f:
+        with open(SparkFiles.get(name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         encoding = tiktoken.Encoding("own", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         for s in texts:
@@ -45,11 +48,11 @@ def token_counter(path: str):
     return count
 
 
-def sized_documents(spark: SparkSession, data_dir: str, tokenizer: str = TOKENIZER) -> DataFrame:
-    """doc_id, source, tokens, position (30 bits of a hash of the id)."""
+def sized_documents(spark: SparkSession, data_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """The vocabulary file is a parameter, of the function or of the session (quillwork.tokenizer). doc_id, source, tokens, position (30 bits of a hash of the id)."""
     docs = table(spark, data_dir, "documents").select("doc_id", "source", "text")
     bits = LEVEL_BITS * LEVELS
-    return docs.select("doc_id", "source", token_counter(tokenizer)("text").alias("tokens"), F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits).alias("position"))
+    return docs.select("doc_id", "source", token_counter(spark, tokenizer or spark.conf.get("quillwork.tokenizer", TOKENIZER))("text").alias("tokens"), F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - bits).alias("position"))
 
 
 def source_budgets(docs: DataFrame, targets: DataFrame) -> DataFrame:
@@ -85,7 +88,7 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
             hist = found.join(hist, "source")
         else:
             inside = F.shiftright(F.col("position"), shift + LEVEL_BITS) == F.col("base")
-            hist = docs.join(F.broadcast(found), "source").where(inside).groupBy("mix_name", "source", "rest", "base", F.shiftright("position", shift).alias("bucket")).agg(F.sum("tokens").alias("t"))
+            hist = docs.join(found, "source").where(inside).groupBy("mix_name", "source", "rest", "base", F.shiftright("position", shift).alias("bucket")).agg(F.sum("tokens").alias("t"))
         run = Window.partitionBy("mix_name", "source").orderBy("bucket")
         upto = hist.withColumn("upto", F.sum("t").over(run))
         # the first bucket that would exceed the rest; what lies before it is taken whole
@@ -97,12 +100,10 @@ def thresholds(docs: DataFrame, budgets: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, targets: DataFrame) -> DataFrame:
     """mix_name, source, doc_id, tokens, copies: how often each document is used; a filter over hash positions.
 
-    The targets are a fixed table of a few rows a mix; its size is checked before it is broadcast.
+    The plan is broadcast where its size at run time allows, else a hot source is split by the adaptive skew join.
     """
     plan = source_budgets(docs, targets)
     plan = plan.join(thresholds(docs, plan.where("rest > 0 and available > 0")), ["mix_name", "source"], "left").select("mix_name", "source", "passes", F.coalesce("below", F.lit(0)).alias("below"))
-    if plan.limit(100_001).count() <= 100_000:
-        plan = F.broadcast(plan)
     copies = F.col("passes") + F.when(F.col("position") < F.col("below"), 1).otherwise(0)
     return docs.join(plan, "source").withColumn("copies", copies).where("copies > 0").select("mix_name", "source", "doc_id", "tokens", "copies")
 
