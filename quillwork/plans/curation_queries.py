@@ -212,6 +212,18 @@ def rubric_score(spark: SparkSession, data_dir: str) -> DataFrame:
     return rows.selectExpr("id", *[f"CAST(greatest(1, least(5, {e})) AS BIGINT) AS {k}" for k, e in parts.items()]).withColumn("total", F.expr(" + ".join(parts)))
 
 
+def model_compare(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Two systems (answers by tone) by the rubric: totals, means and a verdict by strict difference; one aggregate."""
+    b = F.coalesce(F.col("tone"), F.lit("")) >= "m"
+    tones = examples(spark, data_dir, "tone").select("id", b.alias("second"))
+    rows = rubric_score(spark, data_dir).select("id", "total").join(tones, "id")
+    side = lambda c, x: F.sum(F.when(c, x))
+    s = rows.agg(*[e.alias(n) for n, e in (("total_a", F.coalesce(side(~F.col("second"), F.col("total")), F.lit(0))), ("total_b", F.coalesce(side(F.col("second"), F.col("total")), F.lit(0))), ("n_a", F.count_if(~F.col("second"))), ("n_b", F.count_if("second")))])
+    mean = lambda t, n: f"round({t} / nullif({n}, 0), 2)"
+    verdict = "CASE WHEN total_a / nullif(n_a, 0) > total_b / nullif(n_b, 0) THEN 'a' WHEN total_a / nullif(n_a, 0) < total_b / nullif(n_b, 0) THEN 'b' ELSE 'tie' END AS verdict"
+    return s.selectExpr("total_a", "total_b", f"{mean('total_a', 'n_a')} AS mean_a", f"{mean('total_b', 'n_b')} AS mean_b", verdict)
+
+
 # reviews of entries
 
 def any_rx(t: str, patterns: list[str]) -> str:
@@ -287,4 +299,4 @@ def distilled_quality(spark: SparkSession, data_dir: str) -> DataFrame:
     return done.selectExpr("*", "CASE status WHEN 'approved' THEN greatest(85.0D, score) WHEN 'needs_review' THEN least(84.0D, greatest(60.0D, score)) ELSE least(59.0D, score) END AS confidence")
 
 
-QUERIES = {f.__name__: f for f in (prompt_score, response_score, final_score, dedup_rank, dedup_two_phase, uniqueness_sweep, top_kept, cleanup_report, rubric_score, quality_review, distilled_quality)}
+QUERIES = {f.__name__: f for f in (prompt_score, response_score, final_score, dedup_rank, dedup_two_phase, uniqueness_sweep, top_kept, cleanup_report, rubric_score, model_compare, quality_review, distilled_quality)}

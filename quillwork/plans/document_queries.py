@@ -6,9 +6,9 @@ from quillwork.functions import text as X
 from quillwork.functions import vocab as V
 from quillwork.plans.base import current
 from quillwork.plans.dialect import Dialect
-from quillwork.plans.pack_queries import A, usable, verse_valid
+from quillwork.plans.pack_queries import A, verse_valid
 from quillwork.plans.relational_queries import EXAMPLES
-from quillwork.plans.scalar_queries import confidence_score, entry_text, first_match, principle, scenario, universalised, use_case_list
+from quillwork.plans.scalar_queries import entry_text, first_match, scenario, universalised
 
 DEVANAGARI = r"[\x{0900}-\x{097F}]"
 MARKER = r"^\((\d+)\.(\d+)\)"
@@ -76,25 +76,6 @@ def pages_extract_text(d):
     return f"SELECT doc, {d.size('pages')} AS n_pages, md5({d.join(d.trans('pages', 'g', d.sub('g', r'^\s+|\s+$', '')), chr(10) + chr(10))}) AS text_md5 FROM (SELECT doc, {pages} AS pages FROM {texts(d)}) q"
 
 
-def verse_text(d: Dialect) -> str:
-    return "lower(concat_ws(' ', english_translation, commentary))"
-
-
-def extract_entries(d):
-    """Usable verses as entries: first sentence, tags and uses from the text."""
-    low = verse_text(d)
-    emo = X.tags_of(d, low, V.EMOTIONAL)
-    first = f"coalesce({X.first_sentence(d, 'english_translation')}, {X.first_sentence(d, 'commentary')})"
-    return f"SELECT id, {first} AS principle, {d.join(emo, '|')} AS emotional, {d.join(X.tags_of(d, low, V.PHILOSOPHICAL), '|')} AS philosophical, {d.join('(' + use_case_list(d, emo) + ')', '|')} AS use_cases, {d.dbl('70')} AS confidence FROM {current(d, 'canonical_verses')} v WHERE {usable(d)}"
-
-
-def refine_entries(d):
-    """A found principle renews principle, tags and confidence; without one the row stays as it is."""
-    low = entry_text(d)
-    old = d.join("emotional_tags", "|")
-    return f"SELECT id, coalesce(p, extracted_principle) AS principle, CASE WHEN p IS NULL THEN {old} ELSE {d.join(X.tags_of(d, low, V.EMOTIONAL), '|')} END AS emotional, CASE WHEN p IS NULL THEN confidence_score ELSE c END AS confidence FROM (SELECT *, {principle(d)} AS p, {confidence_score(d)} AS c FROM {current(d, 'wisdom_entries')} e) q"
-
-
 def distil_entries(d):
     """Nothing from corrupt text; else the first rule that fits, the text of the scenario, the first sentence that can stand alone."""
     low = entry_text(d)
@@ -148,30 +129,6 @@ def chat_replace(d):
     return f"SELECT record_id, md5({d.join(new, chr(1))}) AS replaced_md5 FROM {d.table('chat_records')}"
 
 
-def dataset_violations(d):
-    """Every rule of the finished data set that a row breaks."""
-    n = d.size(X.word_tokens(d, A))
-    rules = {"duplicate_answer": "na > 1", "duplicate_prompt": "np > 1", "length": f"{n} NOT BETWEEN 30 AND 150", "leak": d.any_of(f"lower({A})", V.FORBIDDEN), "list": d.rx(A, V.LISTICLE), "semicolons": f"{d.size(d.all(A, ';'))} >= 2"}
-    return f"""WITH k AS (SELECT id, {A}, md5({X.norm_c(d, 'user_problem')}) AS pk, md5({X.norm_c(d, A)}) AS ak FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL AND user_problem IS NOT NULL),
-p AS (SELECT pk AS p_key, count(*) AS np FROM k GROUP BY pk HAVING count(*) > 1), a AS (SELECT ak AS a_key, count(*) AS na FROM k GROUP BY ak HAVING count(*) > 1), j AS (SELECT k.*, np, na FROM k LEFT JOIN p ON pk = p_key LEFT JOIN a ON ak = a_key)
-SELECT id, violation FROM (SELECT id, {d.explode(d.compact([f"CASE WHEN {c} THEN {d.lit(r)} END" for r, c in rules.items()]))} AS violation FROM j) q"""
-
-
-def cleaned(d: Dialect, t: str) -> str:
-    """Phrases replaced, repeated sentences dropped, the last action sentence moved to the end."""
-    s = X.sentence_list(d, X.clean_text(d, X.phrase_replace(d, t)))
-    keys = d.trans("s0", "v", X.norm_c(d, "v"))
-    return s, d.filti("s0", "v", "j", f"{d.position(keys, X.norm_c(d, 'v'))} = j")
-
-
-def cleanup_response(d):
-    s, distinct = cleaned(d, A)
-    acts = d.size(d.filt("s1", "v", d.rx("v", V.ACTION)))
-    last = d.el(d.filt("s1", "v", d.rx("v", V.ACTION)), acts)
-    moved = f"CASE WHEN {acts} = 0 THEN {d.join('s1', ' ')} ELSE trim(concat({d.join(d.filt('s1', 'v', 'v <> act'), ' ')}, ' ', act)) END"
-    return f"SELECT id, md5({moved}) AS cleaned_md5, {d.size('s1')} AS n_sentences FROM (SELECT id, s1, {last} AS act FROM (SELECT id, {distinct} AS s1 FROM (SELECT id, {s} AS s0 FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL) q) r) z"
-
-
 def polish_response(d):
     inner = X.sentence_case(d, X.phrase_replace(d, A))
     return f"SELECT id, md5({X.clean_text(d, X.phrase_replace(d, inner))}) AS polished_md5 FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL"
@@ -190,4 +147,4 @@ def verse_quality_bands(d):
     return f"SELECT source_document_id, count(*) AS n, {d.count_if(verse_valid(d, t))} AS n_valid, {d.count_if('coalesce(is_valid, false)')} AS n_marked FROM {current(d, 'canonical_verses')} v WHERE {t} IS NOT NULL GROUP BY source_document_id"
 
 
-QUERIES = {f.__name__: f for f in (chunk_documents, active_range, passage_units, verse_units, pages_extract_text, extract_entries, refine_entries, distil_entries, chat_validate_strict, chat_validation_report, chat_roles_pivot, export_chat_jsonl, chat_replace, dataset_violations, cleanup_response, polish_response, rewrite_pool, verse_quality_bands)}
+QUERIES = {f.__name__: f for f in (chunk_documents, active_range, passage_units, verse_units, pages_extract_text, distil_entries, chat_validate_strict, chat_validation_report, chat_roles_pivot, export_chat_jsonl, chat_replace, polish_response, rewrite_pool, verse_quality_bands)}

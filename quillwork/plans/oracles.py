@@ -205,6 +205,10 @@ SELECT id, score, concat_ws('|', CASE WHEN i1 THEN 'missing_principle' END, CASE
   CASE WHEN score < 60 OR i1 OR i4 OR i5 THEN 'rejected' WHEN score >= 85 THEN 'approved' ELSE 'needs_review' END AS status, CASE WHEN score >= 85 THEN score WHEN score >= 60 THEN least(84.0, score) ELSE least(59.0, score) END::DOUBLE AS confidence FROM g
 """
 
+MODEL_COMPARE = f"""WITH r AS ({RUBRIC_SCORE}), b AS (SELECT r.id, total, coalesce(tone, '') >= 'm' AS second FROM r JOIN training_examples x ON r.id = x.id),
+t AS (SELECT coalesce(sum(total) FILTER (NOT second), 0)::BIGINT AS total_a, coalesce(sum(total) FILTER (second), 0)::BIGINT AS total_b, count(*) FILTER (NOT second) AS n_a, count(*) FILTER (second) AS n_b FROM b)
+SELECT total_a, total_b, round(total_a / nullif(n_a, 0), 2) AS mean_a, round(total_b / nullif(n_b, 0), 2) AS mean_b, CASE WHEN total_a / nullif(n_a, 0) > total_b / nullif(n_b, 0) THEN 'a' WHEN total_a / nullif(n_a, 0) < total_b / nullif(n_b, 0) THEN 'b' ELSE 'tie' END AS verdict FROM t"""
+
 APPROVAL = "SELECT x.id FROM training_examples x WHERE x.dataset_status = 'approved' AND x.dataset_quality_score >= 85 AND len(x.dataset_audit_issues) = 0 AND x.wisdom_entry_id IN (SELECT id FROM wisdom_entries WHERE principle_status = 'approved')"
 
 SQL = {
@@ -222,6 +226,7 @@ SQL = {
     "top_kept": TOP_KEPT,
     "cleanup_report": CLEANUP_REPORT,
     "rubric_score": RUBRIC_SCORE,
+    "model_compare": MODEL_COMPARE,
     "quality_review": QUALITY_REVIEW,
     "distilled_quality": DISTILLED_QUALITY,
 }

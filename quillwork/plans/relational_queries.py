@@ -44,10 +44,6 @@ def tag_buckets(d):
     return " UNION ALL ".join(f"SELECT {d.lit(k)} AS bucket, id FROM {entries(d, c)}" for k, c in buckets.items())
 
 
-def example_eligibility(d):
-    return f"SELECT id, confidence_score >= 70 AND {X.clean_or_null(d, 'coalesce(distilled_wisdom, extracted_principle)')} IS NOT NULL AS eligible FROM {entries(d)}"
-
-
 def export_gate(d):
     return f"SELECT x.id AS id, e.id AS entry_id FROM {d.table(EXAMPLES)} x JOIN {entries(d)} ON x.wisdom_entry_id = e.id WHERE x.approved_for_finetune AND e.principle_status = 'approved' AND x.dataset_status = 'approved'"
 
@@ -119,6 +115,19 @@ def dup_fingerprint_groups(d):
     return f"SELECT k, n, first_id, last_id FROM (SELECT md5({X.fingerprint(d, A)}) AS k, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL GROUP BY 1) q WHERE n > 2"
 
 
+def dup_fingerprint_members(d):
+    """The members of every group of more than two, a row each, with the size of the group: a hot group is no list in one row."""
+    return f"""WITH f AS (SELECT id, md5({X.fingerprint(d, A)}) AS k FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL), g AS (SELECT k AS gk, count(*) AS n FROM f GROUP BY k HAVING count(*) > 2)
+SELECT k, n, id FROM f JOIN g ON k = gk"""
+
+
+def flag_counts(d):
+    """How many entries of a book are distilled, and how many examples of them may be exported."""
+    return f"""WITH e AS (SELECT id, book_title, CASE WHEN distilled_wisdom IS NOT NULL AND trim(distilled_wisdom) <> '' THEN 1 ELSE 0 END AS distilled, principle_status FROM {entries(d)}),
+x AS (SELECT wisdom_entry_id AS entry, count(*) AS n, {d.count_if("approved_for_finetune AND dataset_status = 'approved'")} AS ready FROM {d.table(EXAMPLES)} GROUP BY wisdom_entry_id)
+SELECT book_title, count(*) AS n_entries, {d.big('sum(distilled)')} AS n_distilled, {d.big('coalesce(sum(n), 0)')} AS n_examples, {d.big("coalesce(sum(CASE WHEN principle_status = 'approved' THEN ready ELSE 0 END), 0)")} AS n_exportable FROM e LEFT JOIN x ON id = entry GROUP BY book_title"""
+
+
 def excess_duplicates(d):
     return f"SELECT {d.big('sum(n - 1)')} AS excess, count(*) AS n_groups FROM (SELECT count(*) AS n FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL GROUP BY md5({X.norm_d(d, A)})) q"
 
@@ -138,13 +147,6 @@ def phrase_doc_freq(d):
     return f"WITH s AS (SELECT {sums} FROM (SELECT lower({A}) AS low FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL) q) {rows}"
 
 
-def model_compare(d):
-    """Two systems (answers by tone) by their mean scores; a strict difference decides."""
-    return f"""WITH s AS (SELECT {d.dbl("sum(CASE WHEN coalesce(tone, '') < 'm' THEN dataset_quality_score ELSE 0.0 END)")} AS total_a, {d.dbl("sum(CASE WHEN coalesce(tone, '') >= 'm' THEN dataset_quality_score ELSE 0.0 END)")} AS total_b,
-{d.count_if("coalesce(tone, '') < 'm'")} AS n_a, {d.count_if("coalesce(tone, '') >= 'm'")} AS n_b FROM {d.table(EXAMPLES)} WHERE dataset_quality_score IS NOT NULL)
-SELECT round(total_a / nullif(n_a, 0), 2) AS mean_a, round(total_b / nullif(n_b, 0), 2) AS mean_b, CASE WHEN total_a / nullif(n_a, 0) > total_b / nullif(n_b, 0) THEN 'a' WHEN total_a / nullif(n_a, 0) < total_b / nullif(n_b, 0) THEN 'b' ELSE 'tie' END AS verdict FROM s"""
-
-
 def page_entries(d):
     return f"SELECT id, book_title FROM {entries(d)} ORDER BY id LIMIT 50 OFFSET 100"
 
@@ -190,8 +192,11 @@ def merge_union(d):
 
 
 def removed_records(d):
-    return f"""WITH m AS ({merged(d)}), k AS (SELECT origin, ordinal, row_number() OVER (PARTITION BY md5(concat(coalesce(prompt, ''), chr(1), coalesce(answer, ''))) ORDER BY origin, ordinal) AS place FROM m)
-SELECT m.origin AS origin, m.ordinal AS ordinal FROM m LEFT ANTI JOIN (SELECT * FROM k WHERE place = 1) w ON m.origin = w.origin AND m.ordinal = w.ordinal""".replace("LEFT ANTI JOIN", "LEFT ANTI JOIN" if d.name == "spark" else "ANTI JOIN")
+    """All rows of the merged sets but the first of each equal pair: what is not the smallest (origin, ordinal) of its key."""
+    same = "md5(concat(coalesce(prompt, ''), chr(1), coalesce(answer, '')))"
+    first = "min(struct(origin, ordinal))" if d.name == "spark" else "min(struct_pack(origin := origin, ordinal := ordinal))"
+    return f"""WITH m AS (SELECT origin, ordinal, {same} AS k FROM ({merged(d)}) q), g AS (SELECT k AS gk, {first} AS w FROM m GROUP BY k HAVING count(*) > 1)
+SELECT origin, ordinal FROM m JOIN g ON k = gk WHERE origin <> w.origin OR ordinal <> w.ordinal"""
 
 
-QUERIES = {f.__name__: f for f in (doc_lookup, gate_entries, gate_source_pool, tag_search, tag_buckets, example_eligibility, export_gate, approval_gate, join_examples_entries, anti_existing, semi_reviewed, left_attach, review_upsert, count_by_source, per_source_counts, quality_report, status_histogram, source_status_pivot, issue_counts, tag_distribution, top_openings, dup_fingerprint_groups, excess_duplicates, duplicate_group_counts, avg_length, phrase_doc_freq, model_compare, page_entries, lowest_scores, sample_k, latest_source, topk_per_source, dedup_exact, best_per_key, merge_union, removed_records)}
+QUERIES = {f.__name__: f for f in (doc_lookup, gate_entries, gate_source_pool, tag_search, tag_buckets, export_gate, approval_gate, join_examples_entries, anti_existing, semi_reviewed, left_attach, review_upsert, count_by_source, per_source_counts, quality_report, status_histogram, source_status_pivot, issue_counts, tag_distribution, top_openings, dup_fingerprint_groups, dup_fingerprint_members, flag_counts, excess_duplicates, duplicate_group_counts, avg_length, phrase_doc_freq, page_entries, lowest_scores, sample_k, latest_source, topk_per_source, dedup_exact, best_per_key, merge_union, removed_records)}

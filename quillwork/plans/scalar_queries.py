@@ -67,21 +67,6 @@ def headings(d):
     return f"SELECT id, {X.is_heading(d, first)} AS is_heading, {X.is_heading(d, first, 8)} AS is_short_heading FROM {current(d, 'document_chunks')} c WHERE content IS NOT NULL"
 
 
-def keyword_tags(d):
-    low = entry_text(d)
-    return _entries(d, f"{d.join(X.tags_of(d, low, V.EMOTIONAL), '|')} AS emotional, {d.join(X.tags_of(d, low, V.PHILOSOPHICAL), '|')} AS philosophical")
-
-
-def use_case_list(d: Dialect, tags: str) -> str:
-    named = d.compact([f"CASE WHEN {d.has(tags, d.lit(t))} THEN {d.lit(u)} END" for t, u in V.USE_CASES.items()])
-    return f"CASE WHEN {d.size(named)} = 0 THEN {d.strings([V.DEFAULT_USE])} ELSE {d.ordered_distinct(named)} END"
-
-
-def use_cases(d):
-    tags = X.tags_of(d, entry_text(d), V.EMOTIONAL)
-    return _entries(d, f"{d.join('(' + use_case_list(d, tags) + ')', '|')} AS use_cases")
-
-
 def first_sentence(d):
     return _entries(d, f"coalesce({X.first_sentence(d, 'translation')}, {X.first_sentence(d, 'commentary')}) AS first_sentence")
 
@@ -90,29 +75,6 @@ def first_clean_sentence(d):
     return _entries(d, f"coalesce({d.el(X.clean_sentences(d, 'translation'), 1)}, {d.el(X.clean_sentences(d, 'commentary'), 1)}) AS first_clean_sentence")
 
 
-def principle(d: Dialect) -> str:
-    """First sentence of ten words or more that is no narration and not corrupt; a leading vocative is dropped."""
-    s = f"{d.cat(f'coalesce({X.sentence_list(d, X.clean_text(d, "translation"))}, {d.array([])})', f'coalesce({X.sentence_list(d, X.clean_text(d, "commentary"))}, {d.array([])})')}"
-    bare = d.trans(s, "v", d.sub("v", r"^O [A-Z][a-z]+, ", ""))
-    keep = d.filt(bare, "p", f"{d.size(X.tokens(d, 'p'))} >= 10 AND NOT {d.rx('p', V.NARRATION)} AND NOT {d.rx('p', V.CORRUPTION)}")
-    return d.el(keep, 1)
-
-
-def select_principle(d):
-    return _entries(d, f"{principle(d)} AS principle")
-
-
-def confidence_score(d: Dialect) -> str:
-    low = entry_text(d)
-    e, p = X.tags_of(d, low, V.EMOTIONAL), X.tags_of(d, low, V.PHILOSOPHICAL)
-    terms = [("translation IS NOT NULL AND trim(translation) <> ''", 10), ("commentary IS NOT NULL AND trim(commentary) <> ''", 5), (f"{d.size(e)} > 0", 7.5), (f"{d.size(p)} > 0", 7.5)]
-    return d.dbl("least(95.0, 60.0 + " + " + ".join(f"CASE WHEN {c} THEN {n:.1f} ELSE 0.0 END" for c, n in terms) + ")")
-
-
-def confidence(d):
-    return _entries(d, f"{confidence_score(d)} AS confidence")
-
-
 def clean_title(d):
     t = "title"
     return f"SELECT id, coalesce(nullif({X.clean_text(d, f'replace({d.sub(t, r'[0-9a-f]{12,}', '')}, {d.lit('_')}, {d.lit(' ')})')}, ''), 'Untitled') AS clean_title FROM {d.table('source_documents')} GROUP BY id, title"
@@ -157,24 +119,6 @@ def theme(d):
     return f"SELECT id, {scenario(d, 't')} AS theme FROM (SELECT id, {tags} AS t FROM {d.table('training_examples')} WHERE user_problem IS NOT NULL) q"
 
 
-def scenario_families(d):
-    """Families by 3 x shared philosophical + 2 x shared emotional tags, best four by (score, name) descending, filled with fallbacks."""
-    low = entry_text(d)
-    rows = []
-    for name, (phil, emo) in V.FAMILIES.items():
-        p = d.size(d.filt("p", "x", d.isin("x", phil)))
-        e = d.size(d.filt("e", "x", d.isin("x", emo)))
-        rows.append(f"SELECT id, {d.lit(name)} AS family, 3 * {p} + 2 * {e} AS score FROM t")
-    ranked = f"SELECT id, family, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, family DESC) AS pos FROM (SELECT * FROM s WHERE score > 0) q"
-    fallback = " UNION ALL ".join(f"SELECT id, {d.lit(f)} AS family, {100 + i} AS pos FROM t" for i, f in enumerate(V.FALLBACK_FAMILIES))
-    return f"""
-WITH t AS (SELECT id, {X.tags_of(d, low, V.EMOTIONAL)} AS e, {X.tags_of(d, low, V.PHILOSOPHICAL)} AS p FROM {current(d, 'wisdom_entries')} w),
-s AS ({' UNION ALL '.join(rows)}),
-r AS ({ranked}),
-filled AS (SELECT id, family, min(pos) AS pos FROM (SELECT id, family, pos FROM r WHERE pos <= 4 UNION ALL {fallback}) q GROUP BY id, family)
-SELECT id, family, {d.big('place')} AS place FROM (SELECT id, family, row_number() OVER (PARTITION BY id ORDER BY pos) AS place FROM filled) q WHERE place <= 4"""
-
-
 def length_fit(d):
     return _answers(d, f"md5({X.fit_length(d, 'assistant_response', 60)}) AS fitted_md5")
 
@@ -233,4 +177,4 @@ def tag_normalised(d):
     return _entries(d, f"{d.join(norm, '|')} AS tags")
 
 
-QUERIES = {f.__name__: f for f in (clean_text, blocks, sentence_counts, normalize_variants, near_key, word_counts, opening_phrase, fingerprint, extract_refs, headings, keyword_tags, use_cases, first_sentence, first_clean_sentence, select_principle, confidence, clean_title, diacritics, universalise, first_match_rule, scenario_type, theme, scenario_families, length_fit, dedup_sentences, stable_bucket, char_seed, rotate_pick, ngram_repetition, listicle, sentence_case, phrase_replace, lookup_word, prompt_candidates, tag_normalised)}
+QUERIES = {f.__name__: f for f in (clean_text, blocks, sentence_counts, normalize_variants, near_key, word_counts, opening_phrase, fingerprint, extract_refs, headings, first_sentence, first_clean_sentence, clean_title, diacritics, universalise, first_match_rule, scenario_type, theme, length_fit, dedup_sentences, stable_bucket, char_seed, rotate_pick, ngram_repetition, listicle, sentence_case, phrase_replace, lookup_word, prompt_candidates, tag_normalised)}
