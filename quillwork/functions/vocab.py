@@ -35,6 +35,8 @@ PHILOSOPHICAL = {"detachment": ["detach", "renunciation", "surrender"], "duty":
 USE_CASES = {"anger": "conflict", "fear": "courage", "grief": "mourning", "envy": "comparison", "doubt": "decision", "pride": "humility", "hope": "encouragement", "loneliness": "belonging"}
 DEFAULT_USE = "reflection"
 EMOTION_WORDS = {"anger": "heat", "fear": "unease", "grief": "weight", "envy": "comparison", "doubt": "fog"}
+FOCUS_WORDS = {"detachment": "release", "duty": "task", "self_knowledge": "seeing", "desire": "wanting", "wisdom": "judgement"}
+ACTION_FAMILIES = {"duty": "begin", "practice": "repeat", "detachment": "let go", "desire": "wait", "self_knowledge": "look"}
 SCENARIOS = [("inner_conflict", ["anger", "envy", "pride"]), ("loss", ["grief", "loneliness"]), ("decision", ["doubt", "fear"])]
 FIRST_MATCH = [(r"(?i)anger|furious", "Pause before anger speaks for you."), (r"(?i)grief|sorrow", "Let sorrow have its hour and its end."), (r"(?i)desire|craving", "Watch a desire before you follow it."), (r"(?i)duty|obligation", "Do the duty and leave its fruit."), (r"(?i)fear|worry", "Take one step while the fear is still there.")]
 PHRASE_MAP = {"it helps to ask": "ask", "in front of you": "before you", "comes back to mind": "returns"}

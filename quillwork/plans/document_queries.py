@@ -70,9 +70,14 @@ SELECT u.doc AS doc, {d.big('u.unit')} AS unit, {d.ext('block', r'^\((\d+\.\d+)\
 FROM u LEFT JOIN run r ON u.doc = r.doc AND u.unit = r.unit WHERE is_verse""".replace("coalesce(n_comments, 0)", d.big("coalesce(n_comments, 0)"))
 
 
+def pages_of(d: Dialect) -> str:
+    """The pages of raw_text: what lies between page-number lines, blank ones dropped."""
+    return d.nonblank(d.split(d.sub(d.sub("raw_text", r"\r\n?", "\n"), r"(?i)\n[ \t]*(?:page |p\. ?|[-–\[] ?)?\d{1,4}(?: ?[-–\]])?[ \t]*\n", "\x01"), "\x01"))
+
+
 def pages_extract_text(d):
     """Pages between page-number lines, stripped, blank ones dropped, joined by blank lines."""
-    pages = d.nonblank(d.split(d.sub(d.sub("raw_text", r"\r\n?", "\n"), r"(?i)\n[ \t]*(?:page |p\. ?|[-–\[] ?)?\d{1,4}(?: ?[-–\]])?[ \t]*\n", "\x01"), "\x01"))
+    pages = pages_of(d)
     return f"SELECT doc, {d.size('pages')} AS n_pages, md5({d.join(d.trans('pages', 'g', d.sub('g', r'^\s+|\s+$', '')), chr(10) + chr(10))}) AS text_md5 FROM (SELECT doc, {pages} AS pages FROM {texts(d)}) q"
 
 
@@ -120,8 +125,14 @@ def chat_roles_pivot(d):
 
 
 def export_chat_jsonl(d):
-    """The approved examples as chats: fixed system prompt, prompt and answer."""
-    return f"SELECT id, md5(concat({d.lit(V.SYSTEM_PROMPT)}, chr(1), coalesce(user_problem, ''), chr(1), coalesce({A}, ''))) AS chat_md5, {d.big('3')} AS n_messages FROM {d.table(EXAMPLES)} WHERE approved_for_finetune"
+    """The examples that pass the export gate as lines of JSON: fixed system prompt, prompt and answer."""
+    parts = [("system", d.lit(V.SYSTEM_PROMPT)), ("user", "coalesce(user_problem, '')"), ("assistant", f"coalesce({A}, '')")]
+    if d.name == "spark":
+        line = "to_json(named_struct('messages', array(" + ", ".join(f"named_struct('role', '{r}', 'content', {e})" for r, e in parts) + ")))"
+    else:
+        line = "CAST(to_json({'messages': [" + ", ".join(f"{{'role': '{r}', 'content': {e}}}" for r, e in parts) + "]}) AS VARCHAR)"
+    gate = f"x.approved_for_finetune AND x.dataset_status = 'approved' AND EXISTS (SELECT 1 FROM {d.table('wisdom_entries')} e WHERE e.id = x.wisdom_entry_id AND e.principle_status = 'approved')"
+    return f"SELECT x.id AS id, md5({line}) AS line_md5, {d.big(f'length({line})')} AS n_chars FROM {d.table(EXAMPLES)} x WHERE {gate}"
 
 
 def chat_replace(d):
@@ -129,6 +140,39 @@ def chat_replace(d):
     return f"SELECT record_id, md5({d.join(new, chr(1))}) AS replaced_md5 FROM {d.table('chat_records')}"
 
 
+def numbered_pages(d: Dialect) -> str:
+    source, at = d.numbered(f"(SELECT doc, {pages_of(d)} AS items FROM {texts(d)}) q", "items")
+    return f"SELECT doc, {at} AS page_no, {d.sub('item', r'^[ \t\n]+|[ \t\n]+$', '')} AS page FROM {source}"
+
+
+def page_scan(d):
+    """Every page of every document with its number."""
+    return f"SELECT doc, page_no, {d.big('length(page)')} AS n_chars, md5(page) AS page_md5 FROM ({numbered_pages(d)}) p"
+
+
+def page_range(d):
+    """The pages of each document from the first that begins with its title to the last before one that holds comments; the stop is looked for from the first page on."""
+    first_line = f"lower(trim({d.el(d.split('page', chr(92) + 'n'), 1)}))"
+    return f"""WITH t AS (SELECT id AS title_doc, lower(trim(max(title))) AS title FROM {d.table('source_documents')} GROUP BY id), p AS ({numbered_pages(d)}),
+b AS (SELECT doc, min(page_no) AS first_page FROM p JOIN t ON doc = title_doc WHERE {first_line} = title GROUP BY doc),
+e AS (SELECT p.doc AS doc, min(page_no) AS stop_page FROM p JOIN b ON p.doc = b.doc WHERE page_no >= first_page AND contains(lower(page), 'comments:') GROUP BY p.doc)
+SELECT p.doc AS doc, page_no FROM p JOIN b ON p.doc = b.doc LEFT JOIN e ON p.doc = e.doc WHERE page_no >= first_page AND (stop_page IS NULL OR page_no < stop_page)"""
+
+
+def locators(d):
+    """Chapter and section of a verse number: two parts are chapter and section, three have a part between."""
+    parts = d.split("verse_number", "[-.]")
+    chapter = f"CASE WHEN {d.size('parts')} IN (2, 3) THEN {d.el('parts', 1)} END"
+    section = f"CASE WHEN {d.size('parts')} = 2 THEN concat('Section ', {d.el('parts', 1)}) WHEN {d.size('parts')} = 3 THEN concat('Part ', {d.el('parts', 2)}) END"
+    return f"SELECT id, {chapter} AS chapter, {section} AS section FROM (SELECT id, {parts} AS parts FROM {current(d, 'canonical_verses')} v WHERE verse_number IS NOT NULL) q"
+
+
+def blocks_joined(d):
+    """Blocks whose lines are joined by blanks."""
+    lines = d.trans(X.blocks(d, "raw_text"), "v", X.clean_text(d, "v"))
+    return f"SELECT doc, {d.size('b')} AS n_blocks, md5({d.join('b', '|')}) AS blocks_md5 FROM (SELECT doc, {lines} AS b FROM {texts(d)}) q"
+
+
 def polish_response(d):
     inner = X.sentence_case(d, X.phrase_replace(d, A))
     return f"SELECT id, md5({X.clean_text(d, X.phrase_replace(d, inner))}) AS polished_md5 FROM {d.table(EXAMPLES)} WHERE {A} IS NOT NULL"
@@ -147,4 +191,4 @@ def verse_quality_bands(d):
     return f"SELECT source_document_id, count(*) AS n, {d.count_if(verse_valid(d, t))} AS n_valid, {d.count_if('coalesce(is_valid, false)')} AS n_marked FROM {current(d, 'canonical_verses')} v WHERE {t} IS NOT NULL GROUP BY source_document_id"
 
 
-QUERIES = {f.__name__: f for f in (chunk_documents, active_range, passage_units, verse_units, pages_extract_text, distil_entries, chat_validate_strict, chat_validation_report, chat_roles_pivot, export_chat_jsonl, chat_replace, polish_response, rewrite_pool, verse_quality_bands)}
+QUERIES = {f.__name__: f for f in (chunk_documents, active_range, page_scan, page_range, locators, blocks_joined, passage_units, verse_units, pages_extract_text, distil_entries, chat_validate_strict, chat_validation_report, chat_roles_pivot, export_chat_jsonl, chat_replace, polish_response, rewrite_pool, verse_quality_bands)}

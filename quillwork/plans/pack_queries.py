@@ -48,11 +48,22 @@ def verse_validity(d):
     return f"SELECT id, {verse_valid(d, 'english_translation')} AS valid FROM {current(d, 'canonical_verses')} v WHERE english_translation IS NOT NULL"
 
 
+# What a valid passage must not be, and what it must hold.
+TITLE_ONLY = r"(?i)^((kena|katha|mundaka)(\s+upanishad)?|section\s+[ivx0-9]+|part\s+[ivx0-9]+|khanda\s+[ivx0-9]+)$"
+SPEAKER_ONLY = r"(?i)^(death|nachiketas|teacher|student|disciple|indra|agni|vayu|brahma|the teacher|the pupil)\s+said:?\s*$"
+FOOTNOTE = r"(?i)(translator'?s note|published by|cf\.|see also|sbe|vol\.|footnote)"
+BIBLIOGRAPHY = r"(?i)(bibliography|index|table of contents|compiled by|copyright|printed by)"
+RITUAL_ONLY = r"(?i)^(om ! peace ! peace ! peace !|here ends the .+upanishad.*)$"
+PASSAGE_CORRUPTION = "[{}@ïÌœ]|H¥|�|Translaetd"
+TEACHING_MARKERS = "self brahman know wisdom immortal mind truth desire death teach knowledge wise realize attain".split()
+
+
 def passage_validity(d):
-    t = "english_translation"
-    words = d.size(d.all(t, "[A-Za-z]+"))
-    ok = f"length({t}) >= 60 AND NOT {d.rx(t, V.HEADER)} AND NOT {d.rx(t, V.SPEAKER)} AND NOT {d.rx(t, V.CORRUPTION)} AND NOT {d.rx(t, V.BOILERPLATE)} AND {words} >= 10 AND {d.any_of(f'lower({t})', V.TRUE_MARKERS)}"
-    return f"SELECT id, {ok} AS valid FROM {current(d, 'canonical_verses')} v WHERE {t} IS NOT NULL"
+    """Whether translation and commentary of a passage can be taught from."""
+    text = "trim(concat_ws(' ', nullif(english_translation, ''), nullif(commentary, '')))"
+    bad = " OR ".join(d.rx("t", p) for p in (TITLE_ONLY, SPEAKER_ONLY, FOOTNOTE, BIBLIOGRAPHY, RITUAL_ONLY, PASSAGE_CORRUPTION))
+    words = d.size(d.all("t", "[A-Za-z][A-Za-z'-]+"))
+    return f"SELECT id, length(t) >= 60 AND NOT ({bad}) AND {words} >= 10 AND {d.any_of('lower(t)', TEACHING_MARKERS)} AS valid FROM (SELECT id, {text} AS t FROM {current(d, 'canonical_verses')} v WHERE english_translation IS NOT NULL) q"
 
 
 def usable(d: Dialect) -> str:

@@ -119,12 +119,31 @@ def theme(d):
     return f"SELECT id, {scenario(d, 't')} AS theme FROM (SELECT id, {tags} AS t FROM {d.table('training_examples')} WHERE user_problem IS NOT NULL) q"
 
 
+#: Own wording: what is added to an answer of fewer than 80 words.
+PADDING = "Keep to one small step, since calm comes after it and seldom before."
+
+
 def length_fit(d):
-    return _answers(d, f"md5({X.fit_length(d, 'assistant_response', 60)}) AS fitted_md5")
+    """Answers of 80 to 140 words: a short one gets a sentence more, a long one keeps whole sentences from the front, a first sentence that is too long is cut by words."""
+    n = lambda e: d.size(X.tokens(d, e))
+    padded = f"CASE WHEN {n('assistant_response')} < 80 THEN concat(assistant_response, ' ', {d.lit(PADDING)}) ELSE assistant_response END"
+    s = f"SELECT id, {padded} AS t FROM {d.table('training_examples')} WHERE assistant_response IS NOT NULL"
+    s = f"SELECT id, t, {n('t')} AS n, {X.sentence_list(d, 't')} AS ss FROM ({s}) q0"
+    s = f"SELECT *, {d.trans('ss', 'v', n('v'))} AS ws FROM ({s}) q1"
+    upto = d.reduce(d.slice("ws", "1", "j"), d.big("0"), "x", "y", "x + y")
+    kept = d.join(d.trans(d.filti("ss", "v", "j", f"j = 1 OR {upto} <= 140"), "v", "trim(v)"), " ")
+    cut_first = f"concat({d.sub(d.join(d.slice(X.tokens(d, d.el('ss', 1)), 1, 140), ' '), '[,;:]+$', '')}, '.')"
+    fitted = f"CASE WHEN n <= 140 THEN t WHEN {d.el('ws', 1)} > 140 THEN {cut_first} ELSE {kept} END"
+    return f"SELECT id, md5(fitted) AS fitted_md5, {n('fitted')} AS n_words FROM (SELECT id, {fitted} AS fitted FROM ({s}) q2) q3"
 
 
 def dedup_sentences(d):
-    return _answers(d, f"md5({X.distinct_sentences(d, 'assistant_response')}) AS distinct_md5, {d.size(X.sentence_list(d, 'assistant_response'))} AS n_sentences")
+    """Sentences of which an earlier one has no equal normal form; and, beside it, those that do not repeat the one before."""
+    s = f"SELECT id, {X.sentence_list(d, X.clean_text(d, 'assistant_response'))} AS ss FROM {d.table('training_examples')} WHERE assistant_response IS NOT NULL"
+    s = f"SELECT *, {d.trans('ss', 'v', X.norm_c(d, 'v'))} AS ks FROM ({s}) q"
+    distinct = d.join(d.filti("ss", "v", "j", f"{d.position('ks', d.el('ks', 'j'))} = j"), " ")
+    adjacent = d.join(d.filti("ss", "v", "j", f"j = 1 OR v <> {d.el('ss', 'j - 1')}"), " ")
+    return f"SELECT id, md5({distinct}) AS distinct_md5, md5({adjacent}) AS adjacent_md5, {d.size('ss')} AS n_sentences FROM ({s}) r"
 
 
 def stable_bucket(d):
@@ -144,7 +163,7 @@ def ngram_repetition(d):
 
 
 def listicle(d):
-    return _answers(d, f"{d.rx('assistant_response', V.LISTICLE)} AS is_list, {d.rx('assistant_response', r'(?m)^\s*\d+[.)]\s')} AS is_numbered")
+    return _answers(d, f"{d.rx('assistant_response', V.LISTICLE)} AS is_list, {d.rx('assistant_response', r'(?m)^\s*\d+\.\s')} OR contains(assistant_response, '**') AS is_numbered, {d.rx('assistant_response', r'(^|\n)\s*(\d+\.|- )')} AS is_dashed")
 
 
 def sentence_case(d):
@@ -156,8 +175,9 @@ def phrase_replace(d):
 
 
 def lookup_word(d):
-    cases = " ".join(f"WHEN {d.has('emotional_tags', d.lit(k))} THEN {d.lit(v)}" for k, v in V.EMOTION_WORDS.items())
-    return _entries(d, f"CASE {cases} ELSE 'strain' END AS emotion_word")
+    look = lambda tags, table, other: "CASE " + " ".join(f"WHEN {d.has(tags, d.lit(k))} THEN {d.lit(v)}" for k, v in table.items()) + f" ELSE {d.lit(other)} END"
+    first = f"coalesce({d.el('emotional_tags', 1)}, 'uncertainty')"
+    return _entries(d, f"{look('emotional_tags', V.EMOTION_WORDS, 'strain')} AS emotion_word, {first} AS main_emotion, {look('philosophical_tags', V.FOCUS_WORDS, 'attention')} AS focus_word, {look('philosophical_tags', V.ACTION_FAMILIES, 'pause')} AS action_family")
 
 
 def prompt_candidates(d):

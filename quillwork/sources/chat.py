@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillwork.sources.store import delete_source
+
 MESSAGES = "ARRAY<STRUCT<role: STRING, content: STRING>>"
 ROLES = ("system", "user", "assistant")
 
@@ -19,7 +21,8 @@ def read_chat_lines(spark: SparkSession, path: str, strict: bool = False) -> Dat
     checked = lines.withColumn("messages", F.when(F.trim("line").like("{%}"), m)).withColumn("error", first_error(F.col("messages"), F.col("line")))
     if not strict:
         return checked
-    return checked.withColumn("error", F.when(F.col("error").isNull(), F.lit(None).cast("string")).otherwise(F.raise_error(F.concat(F.lit("invalid line: "), "error"))))
+    # a filter is never pruned from a plan, as a column would be
+    return checked.where(F.when(F.col("error").isNull(), True).otherwise(F.raise_error(F.concat(F.lit("invalid line: "), "error")).cast("boolean")))
 
 
 def first_error(m, line):
@@ -50,13 +53,17 @@ def chat_lines(examples: DataFrame, prompt: str, answer: str, system_prompt: str
     return examples.select(F.to_json(record).alias("value"))
 
 
-def write_version(lines: DataFrame, folder: str, version: str) -> str:
-    """Write lines into a new versioned folder; an existing version is never overwritten."""
+def write_version(lines: DataFrame, folder: str, version: str, training_folder: str | None = None) -> str:
+    """Write lines into a new versioned folder, and the same files into a training folder if one is given; an existing version is never overwritten."""
     path = f"{folder}/{version}"
     lines.write.mode("errorifexists").text(path)
+    if training_folder:
+        lines.sparkSession.read.text(path).write.mode("errorifexists").text(f"{training_folder}/{version}")
     return path
 
 
-def replace_by_source(df: DataFrame, path: str, source: str = "source_document_id") -> None:
-    """Replace the rows of the sources that df holds and leave other sources as they are."""
+def replace_by_source(df: DataFrame, path: str, source: str = "source_document_id", emptied: list[int] = ()) -> None:
+    """Replace the rows of the sources that df holds, remove those of `emptied`, and leave other sources as they are."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(source).parquet(path)
+    for one in emptied:
+        delete_source(df.sparkSession, path, one, source)
