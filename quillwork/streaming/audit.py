@@ -37,6 +37,14 @@ def run_batches(stream: DataFrame, each, sink: str, state: str) -> None:
     stream.writeStream.foreachBatch(one).option("checkpointLocation", state).trigger(availableNow=True).start().awaitTermination()
 
 
+def written(spark: SparkSession, sink: str, schema) -> DataFrame:
+    """What the batches have written so far."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sink)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(sink)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 

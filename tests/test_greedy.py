@@ -48,8 +48,36 @@ def test_capped_assignment():
 def test_rewrites_keep_target_and_theme_cap():
     n = 200
     frame = pd.DataFrame({"id": range(n), "theme": [random.Random(i).choice("xyz") for i in range(n)], "place": range(n)})
-    got = greedy.accept_rewrites(frame, 50, 20, Q.PROMPTS)
-    assert len(got) == 50 and got["prompt"].is_unique and max(Counter(got["theme"]).values()) <= 20
+    got = greedy.accept_rewrites(frame.itertuples(index=False), 50, {"x": 25}, 20, Q.PROMPTS)
+    themes = Counter(t for _, t, _ in got)
+    assert len(got) == 50 and len({p for _, _, p in got}) == 50 and themes["x"] <= 25 and max(themes["y"], themes["z"]) <= 20
+    # a refused prompt does not use up its theme: rows behind it are still taken
+    clash = pd.DataFrame({"id": [0, 97, 1, 2], "theme": ["x"] * 4, "place": range(4)})
+    assert len(greedy.accept_rewrites(clash.itertuples(index=False), 4, {}, 4, Q.PROMPTS[:1])) == 3
+
+
+def test_fingerprint_generator():
+    got = greedy.generate_by_fingerprint(rows(), Q.BANKS, Q.PROMPTS, 2)
+    assert max(Counter(got["opening"]).values()) <= 2 and got["answer"].map(greedy.fingerprint).is_unique
+    frame = rows(4)
+    frame["topic"] = "same"
+    assert len(set(greedy.generate_by_fingerprint(frame, Q.BANKS, Q.PROMPTS[:4], 2)["prompt"])) == 4  # unused prompts first
+
+
+def test_family_generator_keeps_caps_in_any_order():
+    frame = rows(30).assign(families=[["career", "purpose"]] * 30)
+    got = greedy.generate_by_family(frame, Q.BANKS, Q.FAMILY_PROMPTS)
+    assert max(Counter(got["opening"][got["opening"] != ""]).values()) <= 3 and max(Counter(got["ordinal"]).values()) <= 5
+    assert max(sum(m in a for a in got["answer"]) for m in Q.MIDDLES) <= 3 and got["prompt"].is_unique and got["answer"].is_unique
+    again = greedy.generate_by_family(frame.sample(frac=1, random_state=5), Q.BANKS, Q.FAMILY_PROMPTS)
+    pd.testing.assert_frame_equal(got.reset_index(drop=True), again.reset_index(drop=True))
+
+
+def test_earlier_examples_count_for_caps():
+    first = made(rows(20), per_lesson=1, sentence_cap=3)
+    more = rows(40).iloc[20:]
+    both = pd.concat([first, greedy.generate(more, Q.BANKS, Q.PROMPTS, 5, 3, 40, 1, False, first)])
+    assert max(Counter(both["opening"]).values()) <= 5 and both["prompt"].is_unique
 
 
 def test_similar_pairs_equal_brute_force(spark):

@@ -27,9 +27,9 @@ def duck():
 
 
 def names():
-    from quillwork.plans.registry import SQL
+    from quillwork.plans.registry import oracle_sql
 
-    return sorted(SQL)
+    return sorted(oracle_sql())
 
 
 @pytest.mark.parametrize("name", names())

@@ -40,3 +40,38 @@ def test_pdf_filter_and_status(spark, tmp_path):
     assert [r[0] for r in df.select(is_pdf(F.col("n"), F.col("c"))).collect()] == [True, True, False]
     (tmp_path / "x.pdf").write_bytes(b"no pdf")
     assert [r.extraction_status for r in read_pdfs(spark, str(tmp_path)).collect()] in (["failed"], ["unavailable"])
+
+
+def test_write_back_and_delete(spark, tmp_path):
+    import pytest
+
+    from quillwork.sources.chat import replace_by_source
+    from quillwork.sources.store import delete_source, format_size, upload_name, write_back
+
+    rows = spark.createDataFrame([(1, 10, 50.0), (2, 10, 60.0), (3, 20, None)], "id long, source_document_id long, score double")
+    renewed = spark.createDataFrame([(2, 99.0), (3, None), (7, 1.0)], "id long, score double")
+    path = write_back(rows, renewed, "id", str(tmp_path / "snap"), "v2")
+    assert sorted((r.id, r.score) for r in spark.read.parquet(path).collect()) == [(1, 50.0), (2, 99.0), (3, None)]
+    with pytest.raises(Exception):
+        write_back(rows, renewed, "id", str(tmp_path / "snap"), "v2")
+    table = str(tmp_path / "t")
+    replace_by_source(rows, table)
+    gone, before, after = delete_source(spark, table, 10)
+    assert gone and [r.id for r in spark.read.parquet(table).collect()] == [3] and before != after
+    assert not delete_source(spark, table, 10)[0]
+    replace_by_source(rows.where("id = 1"), table, emptied=[20])
+    assert [r.id for r in spark.read.parquet(table).collect()] == [1]
+    assert format_size(2048) == "2.0 KB" and format_size(10) == "10.0 B"
+    a, b = upload_name("My Book.PDF"), upload_name("My Book.PDF")
+    assert a != b and a.startswith("my_book_") and a.endswith(".pdf") and upload_name("").startswith("document_")
+
+
+def test_strict_reading_fails_whatever_is_selected(spark, tmp_path):
+    import pytest
+
+    from quillwork.sources.chat import read_chat_lines
+
+    p = tmp_path / "x.jsonl"
+    p.write_text('{"messages": []}\n')
+    with pytest.raises(Exception, match="invalid line"):
+        read_chat_lines(spark, str(p), strict=True).select("line").collect()
