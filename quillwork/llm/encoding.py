@@ -55,6 +55,12 @@ def _chains() -> dict[str, tuple[re.Pattern, dict[str, int]]]:
 WIDE_RUN = re.compile("[⺀-鿿가-힣豈-﫿︰-﹏＀-￯぀-ヿ㄀-ㄯ㈀-㏿�]+")
 
 
+@lru_cache(maxsize=1)
+def _leads() -> frozenset[str]:
+    """Signs that begin a sequence in some chain."""
+    return frozenset(c for _, of in _chains().values() for c, b in of.items() if 0xC2 <= b <= 0xF4)
+
+
 @lru_cache(maxsize=1)
 def _suspect() -> re.Pattern:
     """Two neighbours that could be the first bytes of a sequence in any chain, or a wide or lost character."""
@@ -78,10 +84,12 @@ def _again(text: str, first: str) -> str:
     many signs, of scripts in common use; a chain other than the first two needs four foreign signs.
     """
     for _ in range(2):
+        runs = FOREIGN_RUN.findall(text)
+        n = sum(map(len, runs))
+        if n < 2 or any(r[0] not in _leads() for r in runs):
+            break
         for name in dict.fromkeys((first, "cp1252", *SINGLE_BYTE)):
             rx, of = _chains()[name]
-            runs = FOREIGN_RUN.findall(text)
-            n = sum(map(len, runs))
             if n < (2 if name in (first, "cp1252") else 4) or not all(rx.fullmatch(r) for r in runs):
                 continue
             got = [_bytes(r, of) for r in runs]
