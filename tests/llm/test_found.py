@@ -395,3 +395,83 @@ def test_scan_noise_two_letters(spark, tables):
     d = verses(tables, plain, noisy)
     assert {(r.record_id, r.noise_kind) for r in scan_noise.p1_found(spark, d).collect()} == {(101, "misread"), (102, "misread")}
     assert {r.record_id: r.repaired for r in scan_noise.p1_repaired(spark, d).collect()} == dict.fromkeys((101, 102), plain[0])
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("今天天气很好吗 我们去公园走走吧 他说明天还会来", ["今天天气很好吗", "我们去公园走走吧", "他说明天还会来"]),
+        ("今天天气很好吧我们去公园走走吧他说明天还会来", ["今天天气很好吧", "我们去公园走走吧", "他说明天还会来"]),
+        ("วันนี้อากาศดีครับ เราไปเดินเล่นกันนะ พรุ่งนี้เขาจะมา", ["วันนี้อากาศดีครับ", "เราไปเดินเล่นกันนะ", "พรุ่งนี้เขาจะมา"]),
+        ("今日は天気がいいですね\nそして公園に行きました\n私は本を読みます", ["今日は天気がいいですね", "そして公園に行きました", "私は本を読みます"]),
+        ("第三章 河流的尽头", ["第三章 河流的尽头"]),
+        ("放下骄傲吧，因为天黑了", ["放下骄傲吧，因为天黑了"]),
+    ],
+)
+def test_sentences_without_terminators(text, want):
+    starts = sentences.sentence_starts(text)
+    assert [text[a:b].strip() for a, b in zip(starts, [*starts[1:], len(text)])] == want
+
+
+QUESTION = "How can I find a calm word for my sister when she is angry with me?"
+
+
+@pytest.mark.parametrize(
+    "answer, want",
+    [
+        ("This request falls beyond the scope of my role.", "refusal"),
+        ("Let me stop you there; that subject is off limits for me.", "refusal"),
+        ("I will have to skip this question.", "refusal"),
+        ("Prefiero no responder a eso.", "refusal"),
+        ("申し訳ありませんが、お答えできません。", "refusal"),
+        ("静かな言葉を選んで、ゆっくり話してください。彼女の気持ちを聞きましょう。", "other_language"),
+        ("Begin je dag met een rustig woord, en vraag haar wat zij nodig heeft. Dat is niet moeilijk en het kost je geen tijd.", "other_language"),
+        ("Choose one small word and say it slowly.", None),
+        ("Some doors are off limits in a quarrel. Wait until the kettle is cold, then ask her what she heard.", None),
+    ],
+)
+def test_pair_defects_of_other_wordings(answer, want):
+    assert pair_defects.defects_of([QUESTION], [answer]) == [want]
+
+
+def test_first_defective_turn_decides(spark, tables):
+    chat = [("user", QUESTION), ("assistant", "Choose one small word and say it slowly."), ("user", QUESTION), ("assistant", "I can't help with that."), ("user", QUESTION), ("assistant", "")]
+    assert got(pair_defects.p7_found, spark, filled(tables, chat_records=[(1, chat, None)])) == [("chat_records", 1, "refusal")]
+
+
+def test_look_alikes_from_the_unicode_data():
+    form = lookalike.transducer()
+    for a, b in (("ﬁ", "fi"), ("ⅽ", "c"), ("ɩ", "i"), ("𝐝", "d"), ("Ａ", "A"), ("…", "..."), ("Ꭺ", "A")):
+        assert form(a) == form(b), (a, b)
+    for a, b in (("x²", "x2"), ("ſ", "s"), ("①", "1"), ("é", "e"), ("ṣ", "s")):
+        assert form(a) != form(b), (a, b)
+    for text in ("ﬁ Ａ𝐝 अा", "x²  é"):
+        assert form(form(text)) == form(text)
+
+
+@pytest.mark.parametrize("chain", ["cp1252", "iso8859_2", "iso8859_15", "cp437", "cp850", "mac_roman"])
+@pytest.mark.parametrize("hops", [1, 2])
+@pytest.mark.parametrize("text", ["Mühle und Straße", "thé à côté"])
+def test_restored_through_chains(chain, hops, text):
+    def decode(raw):
+        out = []
+        for b in raw:
+            try:
+                out.append(bytes([b]).decode(chain))
+            except UnicodeDecodeError:
+                out.append(chr(b))
+        return "".join(out)
+
+    bad = text
+    for _ in range(hops):
+        bad = decode(bad.encode())
+    out = bad
+    for lo, hi, _, got_ in sorted((x for x in encoding.stretches(bad) if x[2] == chain), reverse=True):
+        out = out[:lo] + got_ + out[hi:]
+    assert out == text
+
+
+def test_whole_short_items_leak(spark, tables):
+    items = [(1, "silver otter", None), (2, "xylograph", None), (3, "the quick brown fox jumps", None), (4, "...", None), (5, "seven words make up this short item", None)]
+    docs = [(1, "A Silver, otter slept.", None, None, None), (2, "No xylograph here", None, None, None), (3, "The quick brown fox jumps; seven words make up this short item.", None, None, None), (4, "silver and otter", None, None, None), (5, "", None, None, None)]
+    assert got(leakage.p8_found, spark, filled(tables, documents=docs, eval_items=items)) == sorted([(1, 1), (2, 2), (3, 3), (3, 5)], key=str)
