@@ -8,7 +8,7 @@ from quillwork.plans.base import current
 from quillwork.plans.dialect import Dialect
 from quillwork.plans.pack_queries import A, verse_valid
 from quillwork.plans.relational_queries import EXAMPLES
-from quillwork.plans.scalar_queries import entry_text, first_match, scenario, universalised
+from quillwork.plans.scalar_queries import scenario
 
 DEVANAGARI = r"[\x{0900}-\x{097F}]"
 MARKER = r"^\((\d+)\.(\d+)\)"
@@ -81,15 +81,6 @@ def pages_extract_text(d):
     return f"SELECT doc, {d.size('pages')} AS n_pages, md5({d.join(d.trans('pages', 'g', d.sub('g', r'^\s+|\s+$', '')), chr(10) + chr(10))}) AS text_md5 FROM (SELECT doc, {pages} AS pages FROM {texts(d)}) q"
 
 
-def distil_entries(d):
-    """Nothing from corrupt text; else the first rule that fits, the text of the scenario, the first sentence that can stand alone."""
-    low = entry_text(d)
-    tags = X.tags_of(d, low, V.EMOTIONAL)
-    lines = {"inner_conflict": "Meet the heat in you before you meet the other.", "loss": "Let what is gone be gone slowly.", "decision": "Decide once and then walk."}
-    by_scenario = "CASE " + " ".join(f"WHEN sc = {d.lit(k)} THEN {d.lit(v)}" for k, v in lines.items()) + " END"
-    return f"SELECT id, CASE WHEN bad THEN NULL ELSE coalesce(rule_text, {by_scenario}, alone) END AS distilled FROM (SELECT id, coalesce({d.rx('translation', V.CORRUPTION)}, false) OR coalesce({d.rx('commentary', V.CORRUPTION)}, false) AS bad, {first_match(d, low)} AS rule_text, {scenario(d, '(' + tags + ')')} AS sc, {universalised(d, X.first_sentence(d, 'translation'))} AS alone FROM {current(d, 'wisdom_entries')} e) q"
-
-
 # chat records
 
 ROLES = ["system", "user", "assistant"]
@@ -191,4 +182,4 @@ def verse_quality_bands(d):
     return f"SELECT source_document_id, count(*) AS n, {d.count_if(verse_valid(d, t))} AS n_valid, {d.count_if('coalesce(is_valid, false)')} AS n_marked FROM {current(d, 'canonical_verses')} v WHERE {t} IS NOT NULL GROUP BY source_document_id"
 
 
-QUERIES = {f.__name__: f for f in (chunk_documents, active_range, page_scan, page_range, locators, blocks_joined, passage_units, verse_units, pages_extract_text, distil_entries, chat_validate_strict, chat_validation_report, chat_roles_pivot, export_chat_jsonl, chat_replace, polish_response, rewrite_pool, verse_quality_bands)}
+QUERIES = {f.__name__: f for f in (chunk_documents, active_range, page_scan, page_range, locators, blocks_joined, passage_units, verse_units, pages_extract_text, chat_validate_strict, chat_validation_report, chat_roles_pivot, export_chat_jsonl, chat_replace, polish_response, rewrite_pool, verse_quality_bands)}

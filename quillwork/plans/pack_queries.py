@@ -83,8 +83,10 @@ def response_valid(d):
 
 
 def suspicious_text(d):
-    t = "translation"
-    return f"SELECT id, {d.rx(t, V.CORRUPTION)} AS corrupted, {d.rx(t, V.GENERIC)} AS generic, coalesce({d.size('emotional_tags')}, 0) = 0 OR coalesce({d.size('philosophical_tags')}, 0) = 0 AS missing_tags, {d.size(X.tokens(d, t))} NOT BETWEEN 8 AND 60 AS odd_length FROM {current(d, 'wisdom_entries')} e"
+    """Entries whose texts are corrupt or generic, that lack tags, or whose principle has an odd length."""
+    t = "concat_ws(' ', translation, commentary, extracted_principle)"
+    n = f"coalesce({d.size(X.tokens(d, 'extracted_principle'))}, 0)"
+    return f"SELECT id, {d.rx(t, V.CORRUPTION)} AS corrupted, {d.rx(t, V.GENERIC)} AS generic, coalesce({d.size('emotional_tags')}, 0) = 0 OR coalesce({d.size('philosophical_tags')}, 0) = 0 AS missing_tags, {n} NOT BETWEEN 8 AND 60 AS odd_length FROM {current(d, 'wisdom_entries')} e"
 
 
 def entry_corruption(d):

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from quillwork.plans import audit_queries, curation_queries, document_queries, greedy_queries, lesson_queries, oracles, pack_queries, relational_queries, scalar_queries
+from quillwork.plans import audit_queries, curation_queries, distil_queries, document_queries, greedy_queries, lesson_queries, oracles, pack_queries, relational_queries, scalar_queries
 from quillwork.plans.base import oracle_of, queries_of
 from quillwork.streaming import audit as stream_queries
 
-SQL = scalar_queries.QUERIES | pack_queries.QUERIES | relational_queries.QUERIES | document_queries.QUERIES | lesson_queries.QUERIES
+SQL = scalar_queries.QUERIES | pack_queries.QUERIES | relational_queries.QUERIES | document_queries.QUERIES | lesson_queries.QUERIES | distil_queries.QUERIES
 
 
 def queries():

@@ -84,28 +84,6 @@ def diacritics(d):
     return f"SELECT id, {d.rx('transliteration', V.DIACRITICS)} AS has_diacritics, {d.rx('sanskrit_text', r'[\x{0900}-\x{097F}]')} AS has_devanagari FROM {current(d, 'canonical_verses')} v"
 
 
-def universalised(d: Dialect, s: str) -> str:
-    """A sentence without reporting phrases, capitalised, of 8 to 30 words; else null."""
-    e = s
-    for phrase in ("the commentary adds that ", "the text calls this ", "among the people of [a-z]+, ", "[a-z]+ answered that "):
-        e = d.sub(e, "(?i)^" + phrase, "")
-    capped = d.join(d.slice(X.tokens(d, e), 1, 30), " ")
-    capital = f"upper(substr({capped}, 1, 1)) || substr({capped}, 2)"
-    return f"CASE WHEN {d.rx(s, V.CORRUPTION)} OR {d.rx(s, V.BOILERPLATE)} OR {d.size(X.tokens(d, e))} < 8 THEN NULL ELSE {capital} END"
-
-
-def universalise(d):
-    return f"SELECT id, {universalised(d, 's')} AS universal FROM (SELECT id, {X.first_sentence(d, 'translation')} AS s FROM {current(d, 'wisdom_entries')} e) q"
-
-
-def first_match(d: Dialect, t: str) -> str:
-    return "CASE " + " ".join(f"WHEN {d.rx(t, p)} THEN {d.lit(r)}" for p, r in V.FIRST_MATCH) + " END"
-
-
-def first_match_rule(d):
-    return _entries(d, f"{first_match(d, entry_text(d))} AS rule_text")
-
-
 def scenario(d: Dialect, tags: str) -> str:
     return "CASE " + " ".join(f"WHEN {d.overlap(tags, d.strings(group))} THEN {d.lit(name)}" for name, group in V.SCENARIOS) + " ELSE 'general' END"
 
@@ -197,4 +175,4 @@ def tag_normalised(d):
     return _entries(d, f"{d.join(norm, '|')} AS tags")
 
 
-QUERIES = {f.__name__: f for f in (clean_text, blocks, sentence_counts, normalize_variants, near_key, word_counts, opening_phrase, fingerprint, extract_refs, headings, first_sentence, first_clean_sentence, clean_title, diacritics, universalise, first_match_rule, scenario_type, theme, length_fit, dedup_sentences, stable_bucket, char_seed, rotate_pick, ngram_repetition, listicle, sentence_case, phrase_replace, lookup_word, prompt_candidates, tag_normalised)}
+QUERIES = {f.__name__: f for f in (clean_text, blocks, sentence_counts, normalize_variants, near_key, word_counts, opening_phrase, fingerprint, extract_refs, headings, first_sentence, first_clean_sentence, clean_title, diacritics, scenario_type, theme, length_fit, dedup_sentences, stable_bucket, char_seed, rotate_pick, ngram_repetition, listicle, sentence_case, phrase_replace, lookup_word, prompt_candidates, tag_normalised)}

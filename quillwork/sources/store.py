@@ -49,3 +49,11 @@ def upload_name(original: str) -> str:
     if not dot or not stem:
         stem, suffix = name.lstrip("."), "pdf"
     return f"{stem.strip().replace(' ', '_').lower() or 'document'}_{uuid.uuid4().hex}.{suffix.lower() or 'pdf'}"
+
+
+def markdown_report(title: str, rows: list, columns: list[str]) -> str:
+    """A report of few rows as a heading and a table; numbers to the right."""
+    cells = [[("" if r[c] is None else str(r[c])).replace("|", "\\|") for c in columns] for r in rows]
+    right = [all(isinstance(r[c], (int, float)) or r[c] is None for r in rows) and bool(rows) for c in columns]
+    lines = [f"# {title}", "", "| " + " | ".join(columns) + " |", "| " + " | ".join("---:" if x else "---" for x in right) + " |"]
+    return "\n".join(lines + ["| " + " | ".join(row) + " |" for row in cells]) + "\n"

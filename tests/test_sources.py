@@ -75,3 +75,9 @@ def test_strict_reading_fails_whatever_is_selected(spark, tmp_path):
     p.write_text('{"messages": []}\n')
     with pytest.raises(Exception, match="invalid line"):
         read_chat_lines(spark, str(p), strict=True).select("line").collect()
+
+
+def test_markdown_report():
+    from quillwork.sources.store import markdown_report
+
+    assert markdown_report("Kept", [{"item": "a|b", "n": 2}, {"item": None, "n": 1}], ["item", "n"]) == "# Kept\n\n| item | n |\n| --- | ---: |\n| a\\|b | 2 |\n|  | 1 |\n"
