@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -48,6 +49,12 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let go of shuffle files that nothing refers to any more; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def partitions(spark: SparkSession, least: int) -> Iterator[None]:
     """At least so many shuffle partitions for what runs inside."""
