@@ -93,7 +93,7 @@ def _scan(with_copies: bool):
         open_run: list | None = None  # table, key, first id, rows so far, seq
 
         def closed(run: list, edge: bool) -> tuple:
-            return ("run", pid, run[0], run[2], None, run[3], edge, run[4], run[1] if edge else None)
+            return ("run", pid, run[0], run[2], None, run[3], edge, run[4], edge_key(run[1]) if edge else None)
 
         for b in batches:
             out: list[tuple] = []
@@ -114,6 +114,13 @@ def _scan(with_copies: bool):
     return scan
 
 
+def edge_key(key: str) -> str:
+    """What stands for the key of a run at the edge of a partition: 128 bits, so that the few edges are light however long the keys are."""
+    import xxhash
+
+    return xxhash.xxh3_128_hexdigest(key.encode("utf-8", "surrogatepass"))
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     frame = pd.DataFrame(rows, columns=["kind", "pid", "record_table", "first_id", "copy_id", "n", "edge", "seq", "key"])
     return frame.astype({"copy_id": "Int64", "seq": "int32", "pid": "int32"})
