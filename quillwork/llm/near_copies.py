@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwork.plans.bloom import bloom_of
-from quillwork.plans.lineage import cut, cut_table, partitions
+from quillwork.plans.lineage import cut, cut_table, partitions, sweep
 from quillwork.sources.tables import table
 
 THRESHOLD, LEAST_WORDS = 0.8, 30
@@ -222,6 +222,8 @@ def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.bag").alias("bag_a"), F.col("y.bag").alias("bag_b")).distinct()
     with partitions(spark, bags.count() * (RARE_WAY[1] + WHOLE_WAY[1]) // TASK_KEYS):
         candidates = cut(found)
+    del keyed, one, two, found
+    sweep(spark)  # the keys are the largest exchange, and no longer needed
     tokens = held_by(bags.select("bag", "tokens"), candidates.select(F.explode(F.array("bag_a", "bag_b")))).groupBy("bag").agg(F.first("tokens").alias("tokens"))
     for side in "ab":
         candidates = candidates.join(tokens.select(F.col("bag").alias(f"bag_{side}"), F.col("tokens").alias(f"tokens_{side}")).hint("merge"), f"bag_{side}")
