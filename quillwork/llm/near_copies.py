@@ -35,12 +35,12 @@ from quillwork.sources.tables import table
 
 THRESHOLD, LEAST_WORDS = 0.8, 30
 #: (intersected orders, keys) of a family.
-RARE_WAY, WHOLE_WAY = (4, 16), (7, 12)
+RARE_WAY, WHOLE_WAY = (3, 16), (6, 12)
 #: Shares of rare tokens from which the orders over rare tokens are used, and below which those over all tokens are.
 RARE_FROM, WHOLE_BELOW = 0.2, 0.9
 COMMON = 0.08
-#: Keys a task of the join shall read.
-TASK_KEYS = 150_000
+#: Keys a task of the join shall read, and the most tasks: beyond them tasks grow, and their sort spills.
+TASK_KEYS, MOST_TASKS = 200_000, 100_000
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -220,7 +220,7 @@ def similar_bags(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     near = (F.col("x.bag") < F.col("y.bag")) & (F.abs(F.col("x.size") - F.col("y.size")) <= differ) & (apart <= differ)
     # the planner does not see that the keys multiply the rows, so it is told to sort and merge
     found = one.hint("merge").join(two, F.col("x.key") == F.col("y.key")).where(near).select(F.col("x.bag").alias("bag_a"), F.col("y.bag").alias("bag_b")).distinct()
-    with partitions(spark, bags.count() * (RARE_WAY[1] + WHOLE_WAY[1]) // TASK_KEYS):
+    with partitions(spark, min(MOST_TASKS, bags.count() * (RARE_WAY[1] + WHOLE_WAY[1]) // TASK_KEYS)):
         candidates = cut(found)
     del keyed, one, two, found
     sweep(spark)  # the keys are the largest exchange, and no longer needed
